@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.dates import month_number, month_start
-from tidewell.functions.hashing import normal
-from tidewell.functions.numeric import fourier_terms
 from tidewell.functions.text import title_parts
 from tidewell.operators.linear import solve_normal_equations
 from tidewell.operators.ordered import position, top_n_per_key
@@ -173,36 +174,44 @@ def forecast_draws(
     """Posterior predictive draws in normalised units: ``n_draws`` rows per key and step ahead.
 
     The first forecast index is the last training index; ``start_after_last``
-    moves it one on.  Noise comes from hashed keys, so any task can redo its rows.
+    moves it one on.  The generator of every thousand draws is seeded by key and
+    chunk, so any task can redo its rows and many draws of one key spread out.
     """
     keys = list(keys)
-    p = spec.size
+    p, chunk = spec.size, 1000
     shift = F.lit(1.0 if start_after_last else 0.0)
-
-    def weighted_sum(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda acc, v: acc + v)
-
-    # terms of every step are made once per model, before the draws multiply the rows
     terms = F.transform(
         F.sequence(F.lit(0), F.lit(n_ahead - 1)),
         lambda h: design_row(F.col("t_hi") + h + shift, F.col("t_lo"), F.col("t_hi"), spec),
     )
-    ready = models.where(F.col("mean").isNotNull()).withColumns(
-        {"_key": F.pmod(F.xxhash64(*keys), F.lit(2**31)), "_terms": terms}
-    )
-    draws = ready.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))))
-    eps = F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda j: normal(F.col("_key"), F.col("draw"), j, seed=seed))
-    draws = draws.withColumn("_eps", eps)
-    weights = F.transform(
-        F.col("mean"), lambda m, j: m + weighted_sum(F.slice("factor", j * p + 1, F.lit(p)), F.col("_eps"))
+    work = models.where(F.col("mean").isNotNull()).select(
+        *keys, "mean", "factor", "y_mean", "y_std", "last_date",
+        F.flatten(terms).alias("terms"),
+        F.pmod(F.xxhash64(*keys), F.lit(2**31)).alias("key_hash"),
+        F.explode(F.sequence(F.lit(0), F.lit((n_draws - 1) // chunk))).alias("chunk"),
     )
-    draws = draws.withColumn("_weights", weights)
-    steps = draws.select(
-        *keys, "draw", "_key", "y_mean", "y_std", "last_date",
-        F.posexplode(F.transform("_terms", lambda x: weighted_sum(x, F.col("_weights")))).alias("obs_id", "_mu"),
+    fields = [work.schema[c] for c in [*keys, "y_mean", "y_std", "last_date"]]
+    schema = T.StructType(
+        [*fields, T.StructField("draw", T.IntegerType()), T.StructField("obs_id", T.IntegerType()), T.StructField("value", T.DoubleType())]
     )
-    noise = F.lit(spec.error) * normal(F.col("_key"), F.col("draw"), F.col("obs_id") + F.lit(10_000), seed=seed)
-    return steps.select(*keys, "draw", "obs_id", (F.col("_mu") + noise).alias("value"), "y_mean", "y_std", "last_date")
+    error = spec.error
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                m = min(chunk, n_draws - row.chunk * chunk)
+                rng = np.random.default_rng([seed, row.key_hash, row.chunk])
+                w = np.asarray(row.mean) + rng.standard_normal((m, p)) @ np.asarray(row.factor).reshape(p, p).T
+                mu = w @ np.asarray(row.terms).reshape(n_ahead, p).T
+                value = mu + error * rng.standard_normal(mu.shape)
+                out = pd.DataFrame({f.name: [getattr(row, f.name)] * value.size for f in fields})
+                out["draw"] = np.repeat(np.arange(m, dtype=np.int32) + row.chunk * chunk, n_ahead)
+                out["obs_id"] = np.tile(np.arange(n_ahead, dtype=np.int32), m)
+                out["value"] = value.ravel()
+                yield out
+
+    drawn = work.mapInPandas(draw, schema)
+    return drawn.select(*keys, "draw", "obs_id", "value", "y_mean", "y_std", "last_date")
 
 
 def back_transform(draws: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewell.plans import base
-from tidewell.plans import climate  # noqa: F401 - each import registers its queries
+from tidewell.plans import climate, spatial  # noqa: F401 - importing registers the queries
 
 
 def queries():
