@@ -26,14 +26,19 @@ def expected_counts(counts: DataFrame, population: DataFrame) -> DataFrame:
     never gathered.
     """
     weeks = dense_index(counts.where(F.col("states").isNotNull()), "week_date", "week")
-    both = keep_both_keys(weeks, population, "states").withColumn("population", F.col("population") / F.lit(1e6))
+    both = keep_both_keys(weeks, population, "states")
+    # whole people are summed before scaling: integer sums do not depend on the order of rows
     totals = (
         both.groupBy("week")
-        .agg(F.sum(F.col("cases").cast("double")).alias("total_cases"), F.sum("population").alias("total_pop"))
+        .agg(
+            F.sum(F.col("cases").cast("double")).alias("total_cases"),
+            (F.sum("population") / F.lit(1e6)).alias("total_pop"),
+        )
         .dropna()
     )
     return (
         both.join(totals, "week")
+        .withColumn("population", F.col("population") / F.lit(1e6))
         .withColumn("E", F.col("population") * F.col("total_cases") / F.col("total_pop"))
         .withColumn("SIR", F.col("cases").cast("double") / F.col("E"))
     )

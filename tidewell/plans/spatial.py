@@ -26,9 +26,9 @@ from tidewell.plans.standins import (
 _SIR_SQL = f"""
 WITH {WEEKLY_SQL},
 idx AS (SELECT week_date, row_number() OVER (ORDER BY week_date) AS week FROM (SELECT DISTINCT week_date FROM weekly)),
-j AS (SELECT w.week_date, i.week, w.states, w.cases, p.population / 1e6::DOUBLE AS population
+j AS (SELECT w.week_date, i.week, w.states, w.cases, p.population / 1e6::DOUBLE AS population, p.population AS people
       FROM weekly w JOIN idx i ON w.week_date = i.week_date JOIN pops p ON p.states = w.states),
-tot AS (SELECT week, CAST(sum(cases) AS DOUBLE) AS total_cases, sum(population) AS total_pop FROM j GROUP BY week),
+tot AS (SELECT week, CAST(sum(cases) AS DOUBLE) AS total_cases, sum(people)::DOUBLE / 1e6::DOUBLE AS total_pop FROM j GROUP BY week),
 sir AS (SELECT j.*, total_cases, total_pop, population * total_cases / total_pop AS e,
                cases / (population * total_cases / total_pop) AS sir FROM j JOIN tot ON j.week = tot.week)
 """
@@ -42,12 +42,12 @@ def _sir(spark, d):
     "g1_sir",
     _SIR_SQL
     + """SELECT strftime(week_date, '%Y-%m-%d') AS week_date, CAST(week AS INTEGER) AS week, states, states AS states_right, cases,
-        round(population, 6) AS population, total_cases, round(e, 6) AS expected, round(sir, 6) AS sir FROM sir""",
+        population, total_cases, e AS expected, sir FROM sir""",
 )
 def g1(spark, d):
     return _sir(spark, d).select(
         F.date_format("week_date", "yyyy-MM-dd").alias("week_date"), "week", "states", "states_right", "cases",
-        F.round("population", 6).alias("population"), "total_cases", F.round("E", 6).alias("expected"), F.round("SIR", 6).alias("sir"),
+        "population", "total_cases", F.col("E").alias("expected"), F.col("SIR").alias("sir"),
     )
 
 
@@ -132,10 +132,10 @@ def r4(spark, d):
     return complete_grid(w, "week", "states", "cases")
 
 
-@query("p9_fill_missing", _GRID_SQL + "SELECT CAST(week AS INTEGER) AS week, states, round(coalesce(e, 1.0::DOUBLE), 6) AS expected FROM grid")
+@query("p9_fill_missing", _GRID_SQL + "SELECT CAST(week AS INTEGER) AS week, states, coalesce(e, 1.0::DOUBLE) AS expected FROM grid")
 def p9(spark, d):
     g = complete_grid(_sir(spark, d), "week", "states", "E")
-    return g.select("week", "states", F.round(F.coalesce("E", F.lit(1.0)), 6).alias("expected"))
+    return g.select("week", "states", F.coalesce("E", F.lit(1.0)).alias("expected"))
 
 
 @query("p1_derived_columns", f"WITH {WEEKLY_SQL} SELECT states, population, population / 1e6::DOUBLE AS millions, 'city_' || lower(states) AS tag FROM pops")
