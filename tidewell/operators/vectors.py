@@ -37,7 +37,7 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, dim: int,
     keep = k + 1 if drop_first else k
     size = queries.count() * dim * 8
     if size > MAX_QUERY_BYTES:
-        hits = _blocked(vectors, queries, keep, size)
+        hits = _blocked(vectors, queries, keep, dim)
     else:
         rows = queries.orderBy("id").collect()
         q_ids = np.array([r["id"] for r in rows])
@@ -63,19 +63,19 @@ def _rank(hits: DataFrame, k: int, drop_first: bool) -> DataFrame:
     return top.where("rank > 1").withColumn("rank", F.col("rank") - 1)
 
 
-def _blocked(vectors: DataFrame, queries: DataFrame, keep: int, query_bytes: int) -> DataFrame:
+def _blocked(vectors: DataFrame, queries: DataFrame, keep: int, dim: int, block_bytes: int = 8 << 20) -> DataFrame:
     """Exact search by blocks: every (query block, vector block) is one matrix product in one task.
 
     Blocks are cut by hashed id, so their sizes do not follow the data.  Each
     product returns ``keep`` hits per query; the full list of pairs never exists.
     """
-    n_q = max(1, -(-query_bytes // (8 << 20)))
-    n_v = max(8, n_q)
+    n_q = max(1, -(-queries.count() * dim * 8 // block_bytes))
+    n_v = max(8, -(-vectors.count() * dim * 8 // block_bytes))
     q = queries.select(
-        (F.pmod(F.xxhash64("id"), F.lit(n_q))).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_v - 1))).alias("vb"), "id", "vec"
+        F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_v - 1))).alias("vb"), "id", "vec"
     )
     v = vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).cast("long").alias("qb"), F.pmod(F.xxhash64("id"), F.lit(n_v)).cast("int").alias("vb"), "id", "vec"
+        F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), F.pmod(F.xxhash64("id"), F.lit(n_v)).cast("int").alias("vb"), "id", "vec"
     )
 
     def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -92,8 +92,7 @@ def _blocked(vectors: DataFrame, queries: DataFrame, keep: int, query_bytes: int
 
 def neighbour_graph(vectors: DataFrame, k: int, dim: int) -> DataFrame:
     """Each vector's k nearest others by cosine, exact."""
-    size = vectors.count() * dim * 8
-    return _rank(_blocked(vectors, vectors, k + 1, size), k, drop_first=True)
+    return _rank(_blocked(vectors, vectors, k + 1, dim), k, drop_first=True)
 
 
 def fuzzy_weights(graph: DataFrame, iterations: int = 64) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewell.plans import base
-from tidewell.plans import climate, embeddings, spatial, text  # noqa: F401 - importing registers the queries
+from tidewell.plans import climate, core, embeddings, spatial, text, tokens  # noqa: F401 - importing registers the queries
 
 
 def queries():
