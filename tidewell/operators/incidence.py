@@ -89,7 +89,9 @@ def impute_risk(
         .groupBy("src", "sample")
         .agg(F.avg("x").alias("x_near"), F.avg("w").alias("w_near"))
     )
-    grid = new_areas.select("area").withColumn("_all", F.lit(1)).join(scalars.withColumn("_all", F.lit(1)), "_all")
+    # every new area lists the samples itself; the scalars then follow by their key
+    samples = scalars.agg(F.collect_list("sample").alias("s")).scalar()
+    grid = new_areas.select("area", F.explode(samples).alias("sample")).join(scalars, "sample")
     j = grid.join(near.withColumnRenamed("src", "area"), ["area", "sample"], "left")
     noise = normal(F.col("area"), F.col("sample"), seed=seed) * F.when(
         F.col("x_near").isNull(), F.col("sigma")

@@ -6,23 +6,30 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PORTIONS = 32
+
 
 def grouped_gram(rows: DataFrame, keys: Sequence[str], p: int, weighted: bool = False) -> DataFrame:
     """Sums of ``x x'`` and ``x y`` per key, from columns ``x`` (array), ``y`` and optionally ``w``.
 
     Each task adds up the rows it holds and emits one partial sum per key it saw;
-    a second, small step adds the partial sums.  No key is ever gathered, so one
-    key may hold most of the table.  A task that meets very many keys flushes its
-    sums early to bound its memory.
+    partial sums are then added in two steps, first in 32 portions per key.  The
+    rows of a key are never gathered, so one key may hold most of the table.  A task
+    that meets very many keys flushes its sums early to bound its memory.
     """
     keys = list(keys)
     key_fields = [rows.schema[k] for k in keys]
     schema = T.StructType(
-        [*key_fields, T.StructField("xtx", T.ArrayType(T.DoubleType())), T.StructField("xty", T.ArrayType(T.DoubleType()))]
+        [
+            *key_fields,
+            T.StructField("portion", T.IntegerType()),
+            T.StructField("xtx", T.ArrayType(T.DoubleType())),
+            T.StructField("xty", T.ArrayType(T.DoubleType())),
+        ]
     )
     max_keys = max(1, 32_000_000 // (p * p))
 
@@ -31,8 +38,9 @@ def grouped_gram(rows: DataFrame, keys: Sequence[str], p: int, weighted: bool =
 
         def flush() -> pd.DataFrame:
             out = pd.DataFrame(list(sums), columns=keys)
-            out["xtx"] = [v[0].ravel().tolist() for v in sums.values()]
-            out["xty"] = [v[1].tolist() for v in sums.values()]
+            out["portion"] = np.int32(TaskContext.get().partitionId() % PORTIONS)
+            out["xtx"] = [v[0].ravel() for v in sums.values()]
+            out["xty"] = [v[1] for v in sums.values()]
             sums.clear()
             return out
 
@@ -57,14 +65,14 @@ def grouped_gram(rows: DataFrame, keys: Sequence[str], p: int, weighted: bool =
     cols = [*keys, "x", "y", *(["w"] if weighted else [])]
     partial = rows.select(*cols).mapInPandas(partial_sums, schema)
 
-    # add the partial sums entry by entry, in Spark's own aggregation
-    flat = partial.select(*keys, F.posexplode(F.concat("xtx", "xty")).alias("i", "v"))
-    added = flat.groupBy(*keys, "i").agg(F.sum("v").alias("v"))
-    whole = added.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("e"))
-    entries = F.transform("e", lambda s: s["v"])
-    return whole.select(
-        *keys, F.slice(entries, 1, p * p).alias("xtx"), F.slice(entries, p * p + 1, p).alias("xty")
-    )
+    def add(g: pd.DataFrame) -> pd.DataFrame:
+        out = g.iloc[:1].copy()
+        out["xtx"] = [np.sum(np.stack(g["xtx"].to_numpy()), axis=0)]
+        out["xty"] = [np.sum(np.stack(g["xty"].to_numpy()), axis=0)]
+        return out
+
+    portions = partial.groupBy(*keys, "portion").applyInPandas(add, schema)
+    return portions.groupBy(*keys).applyInPandas(add, schema).drop("portion")
 
 
 def solve_normal_equations(

@@ -153,25 +153,19 @@ def affine_scan(
     s = df.withColumns({"_a": a.cast("double"), "_b": b.cast("double")})
     if levels <= 0:
         return _scan_arrays(s, keys, step, None, name)
-    s = s.withColumn("_blk", F.floor(F.col(step) / F.lit(block)))
-    arr = s.groupBy(*keys, "_blk").agg(F.array_sort(F.collect_list(F.struct(step, "_a", "_b"))).alias("_rows"))
+    blk = f"_blk{levels}"
+    s = s.withColumn(blk, F.floor(F.col(step) / F.lit(block)))
+    arr = s.groupBy(*keys, blk).agg(F.array_sort(F.collect_list(F.struct(step, "_a", "_b"))).alias("_rows"))
     whole = F.aggregate(
         "_rows",
         F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b")),
         lambda acc, r: F.struct((acc["a"] * r["_a"]).alias("a"), (r["_a"] * acc["b"] + r["_b"]).alias("b")),
     )
-    blocks = arr.select(*keys, "_blk", whole.alias("_m"))
-    ends = affine_scan(
-        blocks.select(*keys, "_blk", F.col("_m.a").alias("_ma"), F.col("_m.b").alias("_mb")),
-        keys,
-        "_blk",
-        F.col("_ma"),
-        F.col("_mb"),
-        "_end",
-        block,
-        levels - 1,
-    ).select(*keys, (F.col("_blk") + 1).alias("_blk"), F.col("_end").alias("_start"))
-    return _scan_arrays(s, [*keys, "_blk"], step, ends, name).drop("_blk")
+    blocks = arr.select(*keys, blk, whole.alias("_m"))
+    inner = blocks.select(*keys, blk, F.col("_m.a").alias("_ma"), F.col("_m.b").alias("_mb"))
+    ends = affine_scan(inner, keys, blk, F.col("_ma"), F.col("_mb"), "_end", block, levels - 1)
+    ends = ends.select(*keys, (F.col(blk) + 1).alias(blk), F.col("_end").alias("_start"))
+    return _scan_arrays(s, [*keys, blk], step, ends, name).drop(blk)
 
 
 def _scan_arrays(s: DataFrame, keys: list[str], step: str, starts: DataFrame | None, name: str) -> DataFrame:

@@ -145,11 +145,13 @@ def w8(spark, d):
 
 @query(
     "w9_running_mean",
-    f"WITH {CURVE_SQL} SELECT run, step, round(sum(loss) OVER w / count(*) OVER w, 6) AS mean_loss FROM curve WINDOW w AS (PARTITION BY run ORDER BY step)",
+    f"WITH {CURVE_SQL} SELECT run, step, (sum(CAST(round(loss * 100) AS BIGINT)) OVER w)::DOUBLE / (count(*) OVER w)::DOUBLE AS mean_cents FROM curve WINDOW w AS (PARTITION BY run ORDER BY step)",
 )
 def w9(spark, d):
-    r = running(loss_curve(spark, d), ["step"], {"s": ("sum", F.col("loss")), "n": ("sum", F.lit(1))}, ["run"], width=1 << 16)
-    return r.select("run", "step", F.round(F.col("s") / F.col("n"), 6).alias("mean_loss"))
+    """In whole hundredths, so that the sums do not depend on their order."""
+    cents = F.round(F.col("loss") * 100).cast("long")
+    r = running(loss_curve(spark, d), ["step"], {"s": ("sum", cents), "n": ("sum", F.lit(1))}, ["run"], width=1 << 16)
+    return r.select("run", "step", (F.col("s") / F.col("n")).alias("mean_cents"))
 
 
 # ---- scalar functions ----
