@@ -11,24 +11,28 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A prime modulus below 2^31 keeps every product inside 64 bits.
+# A prime modulus below 2^31 keeps every product inside 64 bits; one
+# multiplier per key position.
 MODULUS = 2147483647
+MULTIPLIERS = [1103515245, 1664525, 22695477, 134775813, 69069]
 STEP = 48271
 OFFSET = 12345
 
 
-def _round(h: Column, k: Column | int) -> Column:
-    """One mixing round; kept as nested expressions so that code generation sees it."""
-    k = k if isinstance(k, Column) else F.lit(k)
-    return ((h * h) % F.lit(MODULUS) + k.cast("long") * F.lit(STEP) + F.lit(OFFSET)) % F.lit(MODULUS)
-
-
 def mix(*keys: Column | int, seed: int = 42) -> Column:
-    """Hash non-negative integer keys (below 2^46) to an integer in [0, 2^31 - 1)."""
+    """Hash up to five non-negative integer keys to an integer in [0, 2^31 - 1).
+
+    Keys are combined linearly, then scrambled by two quadratic rounds; the
+    expression stays short enough to be generated inline several times.
+    """
     h = F.lit((seed * STEP + OFFSET) % MODULUS).cast("long")
-    for k in keys:
-        h = _round(h, k)
-    return _round(_round(h, 1), 2)
+    for k, a in zip(keys, MULTIPLIERS, strict=False):
+        k = k if isinstance(k, Column) else F.lit(k)
+        h = h + ((k.cast("long") % F.lit(MODULUS)) * F.lit(a)) % F.lit(MODULUS)
+    h = h % F.lit(MODULUS)
+    for c in (OFFSET, OFFSET + 1):
+        h = (h * (h + F.lit(STEP)) + F.lit(c)) % F.lit(MODULUS)
+    return h
 
 
 def uniform(*keys: Column | int, seed: int = 42) -> Column:
@@ -46,9 +50,12 @@ def normal(*keys: Column | int, seed: int = 42) -> Column:
 def mix_sql(*keys: str, seed: int = 42) -> str:
     """The same hash as SQL text, for other engines."""
     h = f"CAST({(seed * STEP + OFFSET) % MODULUS} AS BIGINT)"
-    for k in [*keys, "1", "2"]:
-        h = f"((({h})*({h})) % {MODULUS} + CAST({k} AS BIGINT)*{STEP} + {OFFSET}) % {MODULUS}"
-    return f"({h})"
+    for k, a in zip(keys, MULTIPLIERS, strict=False):
+        h = f"{h} + ((CAST({k} AS BIGINT) % {MODULUS}) * {a}) % {MODULUS}"
+    h = f"(({h}) % {MODULUS})"
+    for c in (OFFSET, OFFSET + 1):
+        h = f"(({h} * ({h} + {STEP}) + {c}) % {MODULUS})"
+    return h
 
 
 def uniform_sql(*keys: str, seed: int = 42) -> str:

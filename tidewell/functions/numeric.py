@@ -36,7 +36,7 @@ def l2_norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (l2_norm(a) * l2_norm(b))
+    return F.try_divide(dot(a, b), l2_norm(a) * l2_norm(b))
 
 
 def softmax(a: Column) -> Column:

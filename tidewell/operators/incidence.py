@@ -39,8 +39,8 @@ def expected_counts(counts: DataFrame, population: DataFrame) -> DataFrame:
     return (
         both.join(totals, "week")
         .withColumn("population", F.col("population") / F.lit(1e6))
-        .withColumn("E", F.col("population") * F.col("total_cases") / F.col("total_pop"))
-        .withColumn("SIR", F.col("cases").cast("double") / F.col("E"))
+        .withColumn("E", F.try_divide(F.col("population") * F.col("total_cases"), F.col("total_pop")))
+        .withColumn("SIR", F.try_divide(F.col("cases").cast("double"), F.col("E")))
     )
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PORTIONS = 32
@@ -27,36 +28,44 @@ def grouped_gram(rows: DataFrame, keys: Sequence[str], p: int, weighted: bool =
         [
             *key_fields,
             T.StructField("portion", T.IntegerType()),
-            T.StructField("xtx", T.ArrayType(T.DoubleType())),
-            T.StructField("xty", T.ArrayType(T.DoubleType())),
+            T.StructField("s", T.ArrayType(T.DoubleType())),
         ]
     )
     max_keys = max(1, 32_000_000 // (p * p))
 
+    chunk = max(1, 4_000_000 // (p * p))
+
     def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, list[np.ndarray]] = {}
+        sums: dict[tuple, np.ndarray] = {}
+        portion = np.int32(TaskContext.get().partitionId() % PORTIONS)
 
         def flush() -> pd.DataFrame:
             out = pd.DataFrame(list(sums), columns=keys)
-            out["portion"] = np.int32(TaskContext.get().partitionId() % PORTIONS)
-            out["xtx"] = [v[0].ravel() for v in sums.values()]
-            out["xty"] = [v[1] for v in sums.values()]
+            out["portion"] = portion
+            out["s"] = list(sums.values())
             sums.clear()
             return out
 
         for batch in batches:
-            if batch.empty:
-                continue
-            for key, g in batch.groupby(keys, sort=False):
-                x = np.stack(g["x"].to_numpy()).astype(float)
-                y = g["y"].to_numpy(dtype=float)
-                xw = x * g["w"].to_numpy(dtype=float)[:, None] if weighted else x
-                have = sums.get(key)
-                if have is None:
-                    sums[key] = [xw.T @ x, xw.T @ y]
+            batch = batch.sort_values(keys, kind="stable")
+            for lo in range(0, len(batch), chunk):
+                part = batch.iloc[lo : lo + chunk]
+                x = np.stack(part["x"].to_numpy()).astype(float)
+                y = part["y"].to_numpy(dtype=float)
+                xw = x * part["w"].to_numpy(dtype=float)[:, None] if weighted else x
+                starts = _run_starts(part, keys)
+                names = part[keys].iloc[starts].itertuples(index=False, name=None)
+                if len(part) >= 32 * len(starts):
+                    ends = np.append(starts[1:], len(part))
+                    added = [
+                        np.concatenate([(xw[i:j].T @ x[i:j]).ravel(), xw[i:j].T @ y[i:j]]) for i, j in zip(starts, ends)
+                    ]
                 else:
-                    have[0] += xw.T @ x
-                    have[1] += xw.T @ y
+                    outer = (xw[:, :, None] * x[:, None, :]).reshape(len(part), p * p)
+                    added = np.add.reduceat(np.concatenate([outer, xw * y[:, None]], axis=1), starts, axis=0)
+                for key, row in zip(names, added):
+                    have = sums.get(key)
+                    sums[key] = np.array(row) if have is None else have + row
             if len(sums) >= max_keys:
                 yield flush()
         if sums:
@@ -65,14 +74,41 @@ def grouped_gram(rows: DataFrame, keys: Sequence[str], p: int, weighted: bool =
     cols = [*keys, "x", "y", *(["w"] if weighted else [])]
     partial = rows.select(*cols).mapInPandas(partial_sums, schema)
 
-    def add(g: pd.DataFrame) -> pd.DataFrame:
-        out = g.iloc[:1].copy()
-        out["xtx"] = [np.sum(np.stack(g["xtx"].to_numpy()), axis=0)]
-        out["xty"] = [np.sum(np.stack(g["xty"].to_numpy()), axis=0)]
-        return out
-
-    portions = partial.groupBy(*keys, "portion").applyInPandas(add, schema)
-    return portions.groupBy(*keys).applyInPandas(add, schema).drop("portion")
+    def add_runs(by: list[str]):
+        """Sum neighbouring rows of equal keys; input is sorted, so one pending key is held at a time."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            pending: pd.DataFrame | None = None
+            for batch in batches:
+                if batch.empty:
+                    continue
+                if pending is not None:
+                    batch = pd.concat([pending, batch], ignore_index=True)
+                starts = _run_starts(batch, by)
+                out = batch.iloc[starts].copy()
+                out["s"] = list(np.add.reduceat(np.stack(batch["s"].to_numpy()), starts, axis=0))
+                pending = out.iloc[-1:]
+                if len(out) > 1:
+                    yield out.iloc[:-1]
+            if pending is not None:
+                yield pending
+
+        return run
+
+    first = [*keys, "portion"]
+    portions = partial.repartition(*first).sortWithinPartitions(*first).mapInPandas(add_runs(first), schema)
+    whole = portions.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(add_runs(keys), schema)
+    return whole.select(*keys, F.slice("s", 1, p * p).alias("xtx"), F.slice("s", p * p + 1, p).alias("xty"))
+
+
+def _run_starts(df: pd.DataFrame, by: list[str]) -> np.ndarray:
+    """Positions where a run of equal keys begins."""
+    change = np.zeros(len(df), dtype=bool)
+    change[0] = True
+    for c in by:
+        v = df[c].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(change)
 
 
 def solve_normal_equations(

@@ -41,7 +41,8 @@ def range_bucket(df: DataFrame, col: str, n: int | None = None, width: int | Non
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
         return df.withColumn(_BUCKET, F.lit(0.0))
-    probe = df.withColumn("_order_value", F.col(col).cast("double"))
+    # adding 0.0 makes -0.0 and 0.0 one value, as grouping does
+    probe = df.withColumn("_order_value", F.col(col).cast("double") + F.lit(0.0))
     model = Bucketizer(splits=splits, inputCol="_order_value", outputCol=_BUCKET, handleInvalid="keep")
     return model.transform(probe).drop("_order_value")
 

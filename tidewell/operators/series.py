@@ -58,7 +58,9 @@ def standardise(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     Aggregate and join back, not a window: partial sums travel instead of rows.
     """
     stats = df.groupBy(*keys).agg(F.avg(value).alias("y_mean"), F.stddev_pop(value).alias("y_std"))
-    return df.join(stats, list(keys)).withColumn("y_norm", (F.col(value) - F.col("y_mean")) / F.col("y_std"))
+    return df.join(stats, list(keys)).withColumn(
+        "y_norm", F.try_divide(F.col(value) - F.col("y_mean"), F.col("y_std"))
+    )
 
 
 def time_index(df: DataFrame, keys: Sequence[str], date: str, name: str = "t") -> DataFrame:
@@ -139,17 +141,19 @@ def fit_models(train: DataFrame, keys: Sequence[str], date: str, value: str, spe
         F.avg(value).alias("y_mean"),
         F.stddev_pop(value).alias("y_std"),
     )
+    # a series that never varies, or has one row, has no scale or span to fit
+    fittable = bounds.where((F.col("t_hi") > F.col("t_lo")) & (F.col("y_std") > 0))
     rows = (
         time_index(train.select(*keys, date, value), keys, date, "t")
         .where(F.col(value).isNotNull())
-        .join(bounds, keys)
+        .join(fittable, keys)
         .select(
             *keys,
             design_row(F.col("t"), F.col("t_lo"), F.col("t_hi"), spec).alias("x"),
             ((F.col(value) - F.col("y_mean")) / F.col("y_std")).alias("y"),
         )
     )
-    prior = bounds.select(
+    prior = fittable.select(
         *keys,
         F.concat(
             basis_variance(F.col("t_lo"), F.col("t_hi"), spec),
@@ -158,7 +162,7 @@ def fit_models(train: DataFrame, keys: Sequence[str], date: str, value: str, spe
     )
     solved = solve_normal_equations(rows, keys, spec.size, prior, noise_var=spec.error**2)
     return bounds.join(solved, keys, "left").withColumn(
-        "error", F.when(F.col("mean").isNull() & F.col("error").isNull(), "no observed values").otherwise(F.col("error"))
+        "error", F.when(F.col("mean").isNull() & F.col("error").isNull(), "too few different values").otherwise(F.col("error"))
     )
 
 

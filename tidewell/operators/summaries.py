@@ -22,29 +22,26 @@ def hdi(df: DataFrame, keys: Sequence[str], value: str, prob: float) -> DataFram
     value covers many blocks but stays one short row in each.
     """
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    runs = running(counts, ["x"], {"s": ("sum", F.col("c"))}, keys, inclusive=False)
-    sizes = counts.groupBy(*keys).agg(F.sum("c").alias("n")).withColumn("k", F.floor(F.lit(prob) * F.col("n")))
-    runs = runs.join(sizes, keys).withColumn("e", F.col("s") + F.col("c"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    runs = running(counts, ["_x"], {"_s": ("sum", F.col("_c"))}, keys, inclusive=False)
+    sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n")).withColumn("_k", F.floor(F.lit(prob) * F.col("_n")))
+    runs = runs.join(sizes, keys).withColumn("_e", F.col("_s") + F.col("_c"))
     blocks = runs.select(
         *keys,
-        F.col("x").alias("hi"),
-        F.col("s").alias("hs"),
-        F.col("e").alias("he"),
-        F.explode(F.sequence(F.floor(F.col("s") / _BLOCK), F.floor((F.col("e") - 1) / _BLOCK))).alias("blk"),
+        F.col("_x").alias("_hi"),
+        F.col("_s").alias("_hs"),
+        F.col("_e").alias("_he"),
+        F.explode(F.sequence(F.floor(F.col("_s") / _BLOCK), F.floor((F.col("_e") - 1) / _BLOCK))).alias("_blk"),
     )
-    starts = runs.where(F.col("s") + F.col("k") < F.col("n")).select(
-        *keys,
-        F.col("x").alias("lo"),
-        F.col("s"),
-        (F.col("s") + F.col("k")).alias("target"),
-        F.floor((F.col("s") + F.col("k")) / _BLOCK).alias("blk"),
-    )
-    found = starts.join(blocks, [*keys, "blk"]).where((F.col("hs") <= F.col("target")) & (F.col("target") < F.col("he")))
-    best = found.groupBy(*keys).agg(
-        F.min(F.struct((F.col("hi") - F.col("lo")).alias("width"), F.col("s"), F.col("lo"), F.col("hi"))).alias("b")
+    target = F.col("_s") + F.col("_k")
+    starts = runs.where(target < F.col("_n")).select(
+        *keys, F.col("_x").alias("_lo"), "_s", target.alias("_target"), F.floor(target / _BLOCK).alias("_blk")
     )
-    return best.select(*keys, F.col("b.lo").alias("hdi_low"), F.col("b.hi").alias("hdi_high"))
+    found = starts.join(blocks, [*keys, "_blk"])
+    found = found.where((F.col("_hs") <= F.col("_target")) & (F.col("_target") < F.col("_he")))
+    width = (F.col("_hi") - F.col("_lo")).alias("width")
+    best = found.groupBy(*keys).agg(F.min(F.struct(width, F.col("_s"), F.col("_lo"), F.col("_hi"))).alias("_best"))
+    return best.select(*keys, F.col("_best._lo").alias("hdi_low"), F.col("_best._hi").alias("hdi_high"))
 
 
 def posterior_summary(df: DataFrame, keys: Sequence[str], value: str, prob: float = 0.94) -> DataFrame:

@@ -10,6 +10,7 @@ from tidewell.functions.text import words
 from tidewell.operators.reshape import MISSING, MONTHS
 from tidewell.operators.series import climate_long
 from tidewell.plans.base import table
+from tidewell.session import spread
 
 
 # ---- monthly series by city: supplier nation takes the place of the city ----
@@ -132,16 +133,18 @@ cedges AS (
 # ---- text ----
 def articles(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, text, label, split: the language is the class, every fifth document is held out."""
-    return table(spark, d, "documents").select(
-        "doc_id",
-        "text",
-        F.col("lang").alias("label"),
-        F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train").alias("split"),
+    return spread(
+        table(spark, d, "documents").select(
+            "doc_id",
+            "text",
+            F.col("lang").alias("label"),
+            F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train").alias("split"),
+        )
     )
 
 
 def english(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    return spread(table(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "text"))
 
 
 def doc_words(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from tidewell.operators import classify as cl
 from tidewell.operators import cooccur as co
 from tidewell.operators import terms
 from tidewell.plans.base import query, table
+from tidewell.session import spread
 from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, WORDS_SQL, articles, doc_words, english
 
 _TOK = f"tok AS (SELECT doc_id, unnest({WORDS_SQL}) AS token FROM documents)"
@@ -18,7 +19,7 @@ _TF = f"{_TOK}, tf AS (SELECT doc_id, token, count(*) AS n FROM tok GROUP BY ALL
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _tokens(spark, d):

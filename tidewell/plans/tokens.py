@@ -10,11 +10,12 @@ from tidewell.functions.numeric import pad_to
 from tidewell.operators import corpus as cp
 from tidewell.operators import wordpiece as wp
 from tidewell.plans.base import query, table
+from tidewell.session import spread
 from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, english
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _str(c, sep=","):

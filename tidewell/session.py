@@ -59,3 +59,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores.
+
+    A large table already has many splits and is returned as it is; only a few big
+    files or row groups are dealt out again before expensive per-row work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
