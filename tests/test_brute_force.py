@@ -250,6 +250,8 @@ def test_subword_training_encoding_and_decoding(spark):
     back = {r["doc_id"]: r["decoded"] for r in model.decode(full).collect()}
     assert back[0] == "hello world! aaaa aaa hello"
     assert back[1] == "low lower lowest, low-key (really) new newer"
+    by_join = wordpiece.decode(full, "ids", vocab, "id", max_sent=0)
+    assert {r["doc_id"]: r["decoded"] for r in by_join.collect()} == back
     kept = wordpiece.decode(spark.createDataFrame([([2, 4, 1, 3],)], "ids array<int>"), "ids", vocab, "name").first()
     assert kept["decoded"].strip() == "[MASK]"
 

@@ -230,19 +230,29 @@ def pair_template(a: Column, b: Column, cls: Column, sep: Column) -> tuple[Colum
     return joined, types
 
 
-def decode(df: DataFrame, ids: str, vocab: DataFrame, skip: str | None = None) -> DataFrame:
+def decode(
+    df: DataFrame, ids: str, vocab: DataFrame, skip: str | None = None, key: str = "doc_id", max_sent: int = MAX_SENT_TOKENS
+) -> DataFrame:
     """Add ``decoded``: pieces glued, gaps around punctuation closed.
 
     ``skip='id'`` leaves out ids up to 4, ``skip='name'`` the four special names
     (so ``[MASK]`` stays).  An id that is not in the vocabulary reads ``[UNK]``.
+    A vocabulary of more than ``max_sent`` entries is joined to the single ids
+    instead of being sent along; rows are then told apart by ``key``.
     """
-    size = vocab.agg(F.max("id").alias("m")).first()["m"] + 1
-    if size > MAX_SENT_TOKENS:
-        raise ValueError(f"{size} ids; explode the ids and join the vocabulary for tables this large")
-    by_id = vocab.agg(F.map_from_entries(F.collect_list(F.struct("id", "token"))).alias("m")).scalar()
     kept = F.filter(ids, lambda i: i > 4) if skip == "id" else F.col(ids)
-    named = df.withColumn("_m", by_id)
-    tokens = F.transform(kept, lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit("[UNK]")))
+    if vocab.limit(max_sent + 1).count() <= max_sent:
+        by_id = vocab.agg(F.map_from_entries(F.collect_list(F.struct("id", "token"))).alias("m")).scalar()
+        named = df.withColumn("_m", by_id)
+        tokens = F.transform(kept, lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit("[UNK]")))
+        named = named.withColumn("_tokens", tokens).drop("_m")
+    else:
+        single = df.select(key, F.posexplode(kept).alias("_p", "_i"))
+        names = vocab.select(F.col("id").alias("_i"), "token")
+        found = single.join(names, "_i", "left").select(key, F.struct("_p", F.coalesce("token", F.lit("[UNK]")).alias("t")).alias("_s"))
+        rows = found.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("_s")), lambda x: x["t"]).alias("_tokens"))
+        named = df.join(rows, key, "left").withColumn("_tokens", F.coalesce("_tokens", F.array().cast("array<string>")))
+    tokens = F.col("_tokens")
     if skip == "name":
         tokens = F.filter(tokens, lambda t: ~t.isin(*SKIPPED_BY_NAME))
     glued = F.array_join(
@@ -252,7 +262,7 @@ def decode(df: DataFrame, ids: str, vocab: DataFrame, skip: str | None = None) -
         ),
         "",
     )
-    return named.withColumn("decoded", tidy_joined_text(glued)).drop("_m")
+    return named.withColumn("decoded", tidy_joined_text(glued)).drop("_tokens")
 
 
 class SubwordTokenizer:
