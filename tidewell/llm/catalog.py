@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewell.llm import common
-from tidewell.llm import packing, sharding  # noqa: F401 - importing registers the queries
+from tidewell.llm import neardup, packing, sharding  # noqa: F401 - importing registers the queries
 
 
 def queries():
