@@ -10,6 +10,7 @@ A group, and so a task's memory, has the same size for any number of documents.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,53 +21,66 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import query, table
 
-WORD_AND_MARKS = re.compile(r"([A-Za-z]+)([^A-Za-z0-9\s']+)", re.ASCII)
+# Letters that no normal form changes and that lower-case one to one: ASCII and the Latin
+# letters up to U+017F but for the dotted capital I.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+WORD_AND_MARKS = re.compile(f"([{_LATIN}]+)((?:[!-/:-@\\[-`{{-~](?<!'))*)")
+
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class WordCachedTokenizer:
     """Token ids of whole texts as little-endian 32-bit integers.
 
     The vocabulary splits at white space before anything else, so a text's ids are the
-    ids of its white-space-separated chunks one after another.  Chunks are kept in a
-    bounded memo; a chunk of ASCII letters with trailing marks is put together
-    from its two parts.
+    ids of its white-space-separated chunks one after another.  Chunks and the words in
+    them are kept in bounded memos.  A chunk of Latin letters and trailing marks is two words
+    to the vocabulary, which go straight to its merge rules; any other chunk is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int, memo: int = 400_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # a marker's name in a text is text
+        self.merges = self.tokenizer.model
+        letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]}
         self.end = np.array([end_id], dtype="<u4").tobytes()
         self.limit = memo
-        self.memo: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _encode(self, chunks: list[str]) -> None:
-        for chunk, got in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            self.memo[chunk] = np.array(got.ids, dtype="<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            shown = word if word.isascii() else word.translate(self.visible)
+            ids = [t.id for t in self.merges.tokenize(shown)]
+            known = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def _learn(self, missing: set[str]) -> None:
-        memo, parts, whole = self.memo, {}, set()
+        whole = []
         for chunk in missing:
-            if chunk.isascii() and chunk.isalpha():
-                parts[chunk] = (chunk.lower(),)
-            elif m := WORD_AND_MARKS.fullmatch(chunk):
-                parts[chunk] = (m[1].lower(), m[2])
+            if m := WORD_AND_MARKS.fullmatch(chunk):
+                self.chunks[chunk] = self._word(m[1].lower()) + (self._word(m[2]) if m[2] else b"")
             else:
-                whole.add(chunk)
-        whole.update(p for found in parts.values() for p in found)
-        self._encode([p for p in whole if p not in memo])
-        for chunk, found in parts.items():
-            memo[chunk] = b"".join([memo[p] for p in found])
+                whole.append(chunk)
+        for chunk, got in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            self.chunks[chunk] = struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def encode(self, text: str | None) -> bytes:
-        chunks = (text or "").split()
-        memo = self.memo
-        if len(memo) > self.limit:
-            memo.clear()
-        missing = {c for c in set(chunks) if c not in memo}
+        for memo in (self.chunks, self.words):
+            if len(memo) > self.limit:
+                memo.clear()
+        text = text or ""
+        # Python also splits at U+001C to U+001F, which the vocabulary doesn't take for white space
+        chunks = [text] if SEPARATORS.search(text) else text.split()
+        missing = set(chunks).difference(self.chunks)
         if missing:
             self._learn(missing)
-        return b"".join([memo[c] for c in chunks]) + self.end
+        return b"".join(map(self.chunks.__getitem__, chunks)) + self.end
 
 
 _TOKENIZERS: dict[tuple[str, int], WordCachedTokenizer] = {}
