@@ -214,7 +214,7 @@ def confirmed_edges(
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 85, coordinates: int = 32, matches: int = 18, block: int = 256
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row``, its 64-bit name.
 
     Two texts are linked if 100 * shared >= ``percent`` * united shingles; ``component_id`` is
     the smallest ``doc_id`` that links reach.  A null, empty or wordless text has no
@@ -247,10 +247,30 @@ def near_duplicates(
     return (
         signed.join(named, equal, "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select(
+            "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row"
+        )
+    )
+
+
+def without_copies(docs: DataFrame, **options) -> DataFrame:
+    """One document of each group of near-duplicates, with the columns of ``docs``.
+
+    The one with the smallest id stays; of several rows with that id, one.  Texts without
+    shingles are no copies of each other.
+    """
+    found = near_duplicates(docs, **options).where("kept")
+    grouped = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
+    keep = grouped.unionByName(found.where("n_shingles = 0").select("row").distinct())
+    names = docs.columns
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole"),
+        F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row"),
     )
+    left = rows.join(keep, "row", "left_semi").dropDuplicates(["row"])
+    return left.select(*[F.col(f"whole.`{c}`").alias(c) for c in names])
 
 
 @query("op9_minhash")
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
