@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewell.llm import common
-from tidewell.llm import decontaminate, language, neardup, packing, pii, sharding  # noqa: F401 - importing registers the queries
+from tidewell.llm import decontaminate, language, neardup, packing, pii, sharding, vectorcopies  # noqa: F401 - importing registers the queries
 
 
 def queries():
