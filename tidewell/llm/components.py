@@ -20,6 +20,15 @@ def _star(edges: DataFrame, neighbours: DataFrame) -> DataFrame:
     return edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node is either a root or linked to one root only."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) for every node in ``edges``.
 
@@ -37,12 +46,7 @@ def connected(edges: DataFrame) -> DataFrame:
         .distinct(),
         "component-edges",
     )
-    state = None
-    while True:
-        sums = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if sums["n"] == 0 or (sums["n"], sums["h"]) == state:
-            break
-        state = (sums["n"], sums["h"])
+    while not _is_settled(now):
         ways = _both_ways(now)
         large = _star(ways.where("b > a"), ways).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("least"))

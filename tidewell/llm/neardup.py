@@ -2,9 +2,11 @@
 
 1. Every text's set of word shingles gets ``coordinates`` minima and an exact
    fingerprint; rows with equal sets are one class from here on.
-2. Classes are posted under their first ``coordinates - matches + 1`` coordinate-value
-   pairs.  Two signatures that agree in ``matches`` places disagree in too few to miss
-   all of these (the prefix rule), so the remaining coordinates need no postings.
+2. Classes are posted under their coordinate-value pairs, of which only the
+   ``coordinates - matches + 1`` rarest are kept (the prefix rule: two signatures that agree in
+   ``matches`` places share one of these).  Pairs that nothing else has come first, so a text
+   that shares fewer than ``matches`` pairs with others has no postings left, and
+   the long lists of a passage that many texts hold are the last to be used.
 3. Posting lists are merged: collisions are counted over the whole signatures, members
    that are already tied to the list's walk are skipped, and a list yields a spanning
    forest of its pairs with enough collisions, never the pairs themselves.  Lists above
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewell.llm.common import materialize, query, table
 from tidewell.llm.components import connected
@@ -38,8 +41,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     return texts.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def signatures(docs: DataFrame, words: int, coordinates: int, prefix: int) -> DataFrame:
-    """Per row: set size, set fingerprint, the first ``prefix`` minima and a byte of every one."""
+def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
+    """Per row: set size, set fingerprint, the minima and a byte of each."""
     factors = mix(np.arange(1, coordinates + 1, dtype=np.uint64)) | np.uint64(1)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
@@ -58,7 +61,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int, prefix: int) -> Da
                     marks.append(None)
                     continue
                 least = np.array([(found * f).min() for f in factors])
-                coords.append(least[:prefix].astype(np.int64))
+                coords.append(least.astype(np.int64))
                 marks.append((mix(least) & np.uint64(255)).astype(np.uint8).tobytes())
             columns = [batch.column("doc_id"), batch.column("row"), sizes, h1, h2, coords, marks]
             yield pa.RecordBatch.from_arrays(
@@ -89,22 +92,24 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def spanning(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of a graph on 0..n-1; ``linked(i, rest)`` picks i's neighbours in ``rest``.
+    """A star from the first node of each component of a graph on 0..n-1; ``linked(i, rest)`` picks
+    i's neighbours in ``rest``.
 
     Nodes already reached are skipped, so copies of one text cost one comparison each.
     """
-    forest, rest, queue = [], np.arange(n), []
+    forest, rest, queue, first = [], np.arange(n), [], 0
     while len(rest):
         if queue:
             i = queue.pop()
         else:
             i, rest = int(rest[0]), rest[1:]
+            first = i
         if not len(rest):
             break
         hit = linked(i, rest)
         if hit.any():
             found = rest[hit].tolist()
-            forest += [(i, j) for j in found]
+            forest += [(first, j) for j in found]
             queue += found
             rest = rest[~hit]
     return forest
@@ -142,13 +147,30 @@ def _by_blocks(rows: DataFrame, size_column: str, block: int, member: str) -> Da
     return rows.withColumn("parts", parts).withColumn("own", own).withColumn("pair", F.explode(pairs)).drop("parts", "own")
 
 
-def candidate_edges(classes: DataFrame, coordinates: int, matches: int, block: int) -> DataFrame:
-    """Spanning forests of the classes whose signatures agree in ``matches`` places or more."""
-    posts = classes.select("rep", "marks", F.posexplode("coords").alias("place", "value")).select(
-        "rep", "marks", F.xxhash64("place", "value").alias("key")
+def prefix_posts(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """``rep`` and ``key`` for the rarest coordinate-value pairs of each class that others share."""
+    posts = classes.select("rep", F.posexplode("coords").alias("place", "value")).select(
+        "rep", F.xxhash64("place", "value").alias("key")
+    )
+    lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    own = Window.partitionBy("rep")
+    rank = F.row_number().over(own.orderBy("members", "key"))
+    alone = F.lit(coordinates) - F.count(F.lit(1)).over(own)
+    return (
+        posts.join(lists, "key")
+        .withColumn("rank", rank)
+        .withColumn("alone", alone)
+        .where(F.col("alone") + F.col("rank") <= coordinates - matches + 1)
+        .select("rep", "key")
     )
+
+
+def candidate_edges(classes: DataFrame, coordinates: int, matches: int, block: int) -> DataFrame:
+    """Stars of the classes whose signatures agree in ``matches`` places or more."""
+    posts = materialize(prefix_posts(classes, coordinates, matches), "minhash-posts")
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    live = _by_blocks(posts.join(lists, "key"), "members", block, "rep").select("key", "pair", "rep", "marks")
+    live = _by_blocks(posts.join(lists, "key"), "members", block, "rep").select("key", "pair", "rep")
+    live = live.join(classes.select("rep", "marks"), "rep")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def forests():
@@ -161,7 +183,7 @@ def candidate_edges(classes: DataFrame, coordinates: int, matches: int, block: i
 
         yield from _edge_batches(forests())
 
-    dealt = live.repartition("key", "pair").sortWithinPartitions("key", "pair")
+    dealt = live.repartition("key", "pair").sortWithinPartitions("key", "pair", "rep")
     return dealt.mapInArrow(merge, "a long, b long")
 
 
@@ -183,7 +205,9 @@ def confirmed_edges(
     rows = _texts(docs).select(F.col("row").alias("node"), "text")
     met = rows.join(wanted, "node").dropDuplicates(["node"]).select("root", "members", "node", "marks", "text")
     sets = met.mapInArrow(collect, "root long, members long, node long, marks binary, shingles binary")
-    dealt = _by_blocks(sets, "members", block, "node").repartition("root", "pair").sortWithinPartitions("root", "pair")
+    dealt = _by_blocks(sets, "members", block, "node").repartition("root", "pair").sortWithinPartitions(
+        "root", "pair", "node"
+    )
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def forests():
@@ -212,7 +236,7 @@ def confirmed_edges(
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 85, coordinates: int = 32, matches: int = 18, block: int = 256
+    docs: DataFrame, words: int = 5, percent: int = 85, coordinates: int = 32, matches: int = 18, block: int = 512
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row``, its 64-bit name.
 
@@ -225,7 +249,7 @@ def near_duplicates(
     ``matches`` of ``coordinates`` equal minima make a candidate: at a similarity of exactly
     0.85 and 18 of 32, a pair is missed with a probability of about 1e-5.
     """
-    signed = materialize(signatures(docs, words, coordinates, coordinates - matches + 1), "minhash-signatures")
+    signed = materialize(signatures(docs, words, coordinates), "minhash-signatures")
     equal = ["n_shingles", "h1", "h2"]
     classes = materialize(
         signed.where("n_shingles > 0")
