@@ -82,11 +82,11 @@ def block_grams(blocks: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
     schema = pa.schema([("block", pa.int32()), ("k", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(key, docs: pa.Table, rows: pa.Table) -> pa.Table:
-        if not docs.num_rows:
+        if "row" not in docs.column_names or not docs.num_rows:
             return schema.empty_table()
         docs = docs.combine_chunks()
         # a side without rows of the block comes without columns
-        known = rows.column("row").to_numpy() if rows.num_rows else np.zeros(0, np.int64)
+        known = rows.column("row").to_numpy() if "row" in rows.column_names else np.zeros(0, np.int64)
         learned = np.isin(docs.column("row").to_numpy(), known)
         names, which = np.unique(docs.column("k").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
         texts = docs.column("text").chunk(0)
@@ -173,12 +173,12 @@ def block_scores(blocks: DataFrame, priced: DataFrame, order: int) -> DataFrame:
     )
 
     def score(key, docs: pa.Table, grams: pa.Table) -> pa.Table:
-        if not docs.num_rows:
+        if "row" not in docs.column_names or not docs.num_rows:
             return schema.empty_table()
         docs = docs.combine_chunks()
         names, which = np.unique(docs.column("k").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
         codes, cost = np.zeros(0, np.int64), np.zeros(0)
-        if grams.num_rows:
+        if "gram" in grams.column_names and grams.num_rows:
             own = np.searchsorted(names, grams.column("k").to_numpy(zero_copy_only=False).astype(str))
             codes = (own.astype(np.int64) << (8 * order)) | grams.column("gram").to_numpy()
             by = np.argsort(codes)
