@@ -38,7 +38,7 @@ class WordCachedTokenizer:
     to the vocabulary, which go straight to its merge rules; any other chunk is encoded whole.
     """
 
-    def __init__(self, path: str, end_id: int, memo: int = 400_000):
+    def __init__(self, path: str, end_id: int, memo: int = 600_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -77,10 +77,14 @@ class WordCachedTokenizer:
         text = text or ""
         # Python also splits at U+001C to U+001F, which the vocabulary doesn't take for white space
         chunks = [text] if SEPARATORS.search(text) else text.split()
-        missing = set(chunks).difference(self.chunks)
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.chunks.__getitem__, chunks)) + self.end
+        ids = list(map(self.chunks.get, chunks))
+        gaps = [i for i, known in enumerate(ids) if known is None]
+        if gaps:
+            self._learn({chunks[i] for i in gaps})
+            for i in gaps:
+                ids[i] = self.chunks[chunks[i]]
+        ids.append(self.end)
+        return b"".join(ids)
 
 
 _TOKENIZERS: dict[tuple[str, int], WordCachedTokenizer] = {}
