@@ -145,18 +145,15 @@ class SuffixAutomaton:
                     for n, found in self.items_at[at].items():
                         if n <= held:
                             items |= found
-                            if spans and i - n <= spans[-1][1]:
+                            if spans and spans[-1][0] <= i - n <= spans[-1][1]:
                                 spans[-1][1] = i
-                                while len(spans) > 1 and i - n <= spans[-2][1]:
-                                    spans.pop(-2)
-                                spans[-1][0] = min(spans[-1][0], i - n)
                             else:
                                 spans.append([i - n, i])
                     at = self.report[self.link[at]] if self.link[at] >= 0 else -1
-        return [(a, b) for a, b in spans], items, longest
+        return merged(spans), items, longest
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merged(spans: list) -> list[tuple[int, int]]:
     """Sorted ranges without overlaps or touching ends."""
     out: list[tuple[int, int]] = []
     for lo, hi in sorted(spans):
