@@ -51,7 +51,7 @@ def smoothness_penalty(edges: DataFrame, values: DataFrame, value: str, by: list
     return j.groupBy(*by).agg((F.sum(F.pow(F.col("a") - F.col("b"), F.lit(2.0))) / F.lit(sigma * sigma)).alias("penalty"))
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node id reachable; a node without edges is its own component.
 
     Every round takes the smallest label among the neighbours (a partial minimum is
@@ -61,7 +61,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     """
     e = cut_lineage(edges.select("src", "dst"))
     labels = cut_lineage(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         near = (
             e.join(labels.select(F.col("node").alias("dst"), "label"), "dst")
             .groupBy(F.col("src").alias("node"))
@@ -70,15 +70,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
         lowered = labels.join(near, "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")
         )
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        # only labels in use are followed, and a label that leads nowhere stays out: its rows,
+        # a whole component in the end, then match nothing and need not meet in one task
+        jump = labels.where("node <> label").select(F.col("node").alias("label"), F.col("label").alias("next"))
+        used = jump.join(lowered.select("label").distinct(), "label", "left_semi")
         labels_next = cut_lineage(
-            lowered.join(jump, "label").select("node", "old", F.least("label", "next").alias("label"))
+            lowered.join(used, "label", "left").select("node", "old", F.coalesce("next", "label").alias("label"))
         )
         moved = labels_next.where("label <> old").limit(1).count()
         labels = labels_next.select("node", "label")
         if moved == 0:
             return labels.select("node", F.col("label").alias("component"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def icar_components(components: DataFrame, edges: DataFrame, max_dense: int = 5000) -> DataFrame:

@@ -21,11 +21,12 @@ def expected_counts(counts: DataFrame, population: DataFrame) -> DataFrame:
     """``E = population * cases of the week / population of the week`` and ``SIR = cases / E``.
 
     ``counts`` has (week_date, states, cases), ``population`` (states, population).
-    Weekly totals use only the areas present in that week.  Population is in
+    Weeks are numbered over all rows, areas without a name included, before those are left
+    out.  Weekly totals use only the areas present in that week.  Population is in
     millions.  Totals are aggregated and joined back, so the rows of one week are
     never gathered.
     """
-    weeks = dense_index(counts.where(F.col("states").isNotNull()), "week_date", "week")
+    weeks = dense_index(counts, "week_date", "week").where(F.col("states").isNotNull())
     both = keep_both_keys(weeks, population, "states")
     # whole people are summed before scaling: integer sums do not depend on the order of rows
     totals = (

@@ -143,17 +143,24 @@ def affine_scan(
     name: str = "state",
     block: int = 128,
     levels: int = 2,
+    x0: float = 0.0,
+    dense: bool = False,
 ) -> DataFrame:
-    """First-order recurrence ``x_t = a_t * x_(t-1) + b_t`` with ``x_(-1) = 0``, per key.
+    """First-order recurrence ``x_t = a_t * x_(t-1) + b_t`` from ``x0``, per key.
 
-    ``step`` is a dense integer.  Affine maps compose, so blocks of steps are
+    Rows follow each other in the order of the integer ``step``, whatever its first value
+    and gaps; ``dense`` says that steps are 0, 1, 2, ... already.  Affine maps compose, so blocks of steps are
     reduced to one map each, the (far shorter) series of blocks is scanned, and
     its result is the starting value of each block.
     """
     keys = list(keys)
+    if not dense:
+        numbered = position(df.withColumns({"_ra": a, "_rb": b}), [step], keys, "_row")
+        scanned = affine_scan(numbered, keys, "_row", F.col("_ra"), F.col("_rb"), name, block, levels, x0, True)
+        return scanned.select(*df.columns, name)
     s = df.withColumns({"_a": a.cast("double"), "_b": b.cast("double")})
     if levels <= 0:
-        return _scan_arrays(s, keys, step, None, name)
+        return _scan_arrays(s, keys, step, None, name, x0)
     blk = f"_blk{levels}"
     s = s.withColumn(blk, F.floor(F.col(step) / F.lit(block)))
     arr = s.groupBy(*keys, blk).agg(F.array_sort(F.collect_list(F.struct(step, "_a", "_b"))).alias("_rows"))
@@ -164,17 +171,17 @@ def affine_scan(
     )
     blocks = arr.select(*keys, blk, whole.alias("_m"))
     inner = blocks.select(*keys, blk, F.col("_m.a").alias("_ma"), F.col("_m.b").alias("_mb"))
-    ends = affine_scan(inner, keys, blk, F.col("_ma"), F.col("_mb"), "_end", block, levels - 1)
+    ends = affine_scan(inner, keys, blk, F.col("_ma"), F.col("_mb"), "_end", block, levels - 1, x0, True)
     ends = ends.select(*keys, (F.col(blk) + 1).alias(blk), F.col("_end").alias("_start"))
-    return _scan_arrays(s, [*keys, blk], step, ends, name).drop(blk)
+    return _scan_arrays(s, [*keys, blk], step, ends, name, x0).drop(blk)
 
 
-def _scan_arrays(s: DataFrame, keys: list[str], step: str, starts: DataFrame | None, name: str) -> DataFrame:
+def _scan_arrays(s: DataFrame, keys: list[str], step: str, starts: DataFrame | None, name: str, x0: float) -> DataFrame:
     """Scan each short group in place; ``starts`` gives the state before its first row."""
     payload = [c for c in s.columns if c not in keys]
     g = s.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(step, *[c for c in payload if c != step]))).alias("_rows"))
     g = g.withColumn("_start", F.lit(None).cast("double")) if starts is None else g.join(starts, keys, "left")
-    first = F.coalesce(F.col("_start"), F.lit(0.0))
+    first = F.coalesce(F.col("_start"), F.lit(float(x0)))
     states = F.aggregate(
         "_rows",
         F.array(first),

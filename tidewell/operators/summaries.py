@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordered import affine_scan, running
+from tidewell.operators.ordered import affine_scan, position, running
 
 _BLOCK = 64
 
@@ -65,16 +65,19 @@ def mode_smallest(df: DataFrame, keys: Sequence[str], value: str, name: str = "m
 
 
 def ema(df: DataFrame, keys: Sequence[str], step: str, value: str, a: float = 0.1, name: str = "ema") -> DataFrame:
-    """``a * x + (1 - a) * previous``; the first value seeds the average.  Steps count from 0."""
-    first = F.col(step) == 0
-    return affine_scan(
-        df,
+    """``a * x + (1 - a) * previous``; the first row in the order of ``step`` seeds the average."""
+    numbered = position(df, [step], keys, "_row")
+    first = F.col("_row") == 0
+    scanned = affine_scan(
+        numbered,
         keys,
-        step,
+        "_row",
         F.when(first, F.lit(0.0)).otherwise(F.lit(1.0 - a)),
         F.when(first, F.col(value)).otherwise(F.lit(a) * F.col(value)),
         name,
+        dense=True,
     )
+    return scanned.select(*df.columns, name)
 
 
 def early_stop(df: DataFrame, keys: Sequence[str], step: str, loss: str, patience: int) -> DataFrame:

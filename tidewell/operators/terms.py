@@ -61,9 +61,10 @@ def tfidf_transform(tokens: DataFrame, docs: DataFrame, vocab: DataFrame, fitted
     )
 
 
-def one_hot(vocab: DataFrame, words: Sequence[str]) -> DataFrame:
-    """(word, idx, value): the single non-zero entry of each word's indicator row."""
-    return vocab.where(F.col("token").isin(*words)).select(F.col("token").alias("word"), "idx", F.lit(1).alias("value"))
+def one_hot(vocab: DataFrame, words: Sequence[str] | None = None) -> DataFrame:
+    """(word, idx, value): the single non-zero entry of each word's indicator row, all words by default."""
+    asked = vocab if words is None else vocab.where(F.col("token").isin(*words))
+    return asked.select(F.col("token").alias("word"), "idx", F.lit(1).alias("value"))
 
 
 def csr_rows(triples: DataFrame, row: str = "row", col: str = "col", value: str = "value") -> DataFrame:

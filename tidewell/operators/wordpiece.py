@@ -242,9 +242,26 @@ def decode(
     """
     kept = F.filter(ids, lambda i: i > 4) if skip == "id" else F.col(ids)
     if vocab.limit(max_sent + 1).count() <= max_sent:
-        by_id = vocab.agg(F.map_from_entries(F.collect_list(F.struct("id", "token"))).alias("m")).scalar()
-        named = df.withColumn("_m", by_id)
-        tokens = F.transform(kept, lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit("[UNK]")))
+        # entry i of the list is the token of id i: looked up by place, not searched for
+        entries = F.array_sort(F.collect_list(F.struct("id", "token")))
+        size = F.max("id") + 1
+        full = vocab.agg(entries.alias("e"), size.alias("n")).select(
+            F.transform(
+                F.array_sort(
+                    F.concat(
+                        F.transform("e", lambda x: F.struct(x["id"].cast("long").alias("i"), x["token"].alias("t"))),
+                        F.transform(
+                            F.array_except(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), F.transform("e", lambda x: x["id"].cast("long"))),
+                            lambda i: F.struct(i.alias("i"), F.lit(None).cast("string").alias("t")),
+                        ),
+                    )
+                ),
+                lambda x: x["t"],
+            ).alias("m")
+        )
+        named = df.withColumn("_m", full.scalar())
+        known = lambda i: F.when(i >= 0, F.get("_m", i))
+        tokens = F.transform(kept, lambda i: F.coalesce(known(i), F.lit("[UNK]")))
         named = named.withColumn("_tokens", tokens).drop("_m")
     else:
         single = df.select(key, F.posexplode(kept).alias("_p", "_i"))

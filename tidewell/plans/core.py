@@ -108,25 +108,28 @@ def w4(spark, d):
 
 @query(
     "w6_ema",
-    f"""WITH RECURSIVE {CURVE_SQL}, e AS (SELECT run, step, loss AS ema FROM curve WHERE step = 0
-        UNION ALL SELECT c.run, c.step, 0.1::DOUBLE * c.loss + 0.9::DOUBLE * e.ema FROM e JOIN curve c ON c.run = e.run AND c.step = e.step + 1)
-        SELECT run, step, round(ema, 6) AS ema FROM e WHERE step % 50 = 0""",
+    f"""WITH RECURSIVE {CURVE_SQL}, s AS (SELECT run, step, loss, step // 50 - 1 AS k FROM curve WHERE step > 0 AND step % 50 = 0),
+        e AS (SELECT run, step, k, loss AS ema FROM s WHERE k = 0
+        UNION ALL SELECT c.run, c.step, c.k, 0.1::DOUBLE * c.loss + 0.9::DOUBLE * e.ema FROM e JOIN s c ON c.run = e.run AND c.k = e.k + 1)
+        SELECT run, step, round(ema, 6) AS ema FROM e""",
 )
 def w6(spark, d):
-    e = sm.ema(loss_curve(spark, d), ["run"], "step", "loss", 0.1)
-    return e.where(F.col("step") % 50 == 0).select("run", "step", F.round("ema", 6).alias("ema"))
+    """The average is updated with the losses that are sampled, every 50th after the first."""
+    sampled = loss_curve(spark, d).where("step > 0 AND step % 50 = 0")
+    e = sm.ema(sampled, ["run"], "step", "loss", 0.1)
+    return e.select("run", "step", F.round("ema", 6).alias("ema"))
 
 
 @query(
     "w7_recurrence",
-    f"""WITH RECURSIVE {CURVE_SQL}, x AS (SELECT run, step, loss AS x FROM curve WHERE step = 0
+    f"""WITH RECURSIVE {CURVE_SQL}, x AS (SELECT run, step, 0.7::DOUBLE * (1.0::DOUBLE / 3.0::DOUBLE) + loss AS x FROM curve WHERE step = 0
         UNION ALL SELECT c.run, c.step, 0.7::DOUBLE * x.x + c.loss FROM x JOIN curve c ON c.run = x.run AND c.step = x.step + 1)
         SELECT run, step, round(x, 6) AS x FROM x""",
 )
 def w7(spark, d):
-    """``x_t = alpha x_(t-1) + w_t`` along each run."""
+    """``x_t = alpha x_(t-1) + w_t`` along each run, from a given start."""
     c = loss_curve(spark, d)
-    return affine_scan(c, ["run"], "step", F.lit(0.7), F.col("loss"), "x").select("run", "step", F.round("x", 6).alias("x"))
+    return affine_scan(c, ["run"], "step", F.lit(0.7), F.col("loss"), "x", x0=1.0 / 3.0).select("run", "step", F.round("x", 6).alias("x"))
 
 
 @query(
@@ -281,13 +284,19 @@ def s7(spark, d):
 
 @query("s8_geojson", "SELECT n_name AS name, 5 AS n_points, CAST(n_nationkey % 5 AS DOUBLE) AS x0, CAST(n_nationkey // 5 AS DOUBLE) AS y0 FROM nation")
 def s8(spark, d):
+    """Areas with odd numbers of letters are written as multi-polygons."""
     path = scratch_path(spark, "areas")
     ring = lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))
+    rings = F.transform("geometry", ring)
+    several = F.length("name") % 2 == 1
     f = polygons(spark, d).select(
-        F.struct("name").alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.transform("geometry", ring).alias("coordinates")).alias("geometry"),
+        F.concat(
+            F.lit('{"properties": '), F.to_json(F.struct("name")), F.lit(', "geometry": {"type": "'),
+            F.when(several, "MultiPolygon").otherwise("Polygon"), F.lit('", "coordinates": '),
+            F.when(several, F.to_json(F.array(rings))).otherwise(F.to_json(rings)), F.lit("}}"),
+        ).alias("value")
     )
-    f.write.json(path)
+    f.write.text(path)
     g = files.geojson_polygons(spark, path, one_feature_per_line=True)
     first = F.element_at(F.col("geometry"), 1)
     return g.select("name", F.size(first).alias("n_points"), F.element_at(first, 1)["x"].alias("x0"), F.element_at(first, 1)["y"].alias("y0"))

@@ -12,14 +12,14 @@ from tidewell.operators import terms
 from tidewell.operators import vectors as ve
 from tidewell.operators import wordvec as wv
 from tidewell.plans.base import query, table
-from tidewell.plans.standins import WORDS_SQL, english
+from tidewell.plans.standins import WORDS_SQL, plain_texts
 
-_POS = f"pos AS (SELECT doc_id, unnest(t) AS token, unnest(range(0, len(t))) AS p FROM (SELECT doc_id, {WORDS_SQL} AS t FROM documents WHERE lang = 'en') WHERE len(t) > 0)"
+_POS = f"pos AS (SELECT doc_id, unnest(t) AS token, unnest(range(0, len(t))) AS p FROM (SELECT doc_id, {WORDS_SQL} AS t FROM documents) WHERE len(t) > 0)"
 _KEPT = f"{_POS}, kept AS (SELECT token FROM pos GROUP BY token HAVING count(*) > 5)"
 
 
 def _positions(spark, d):
-    return english(spark, d).select("doc_id", F.posexplode(words(F.col("text"))).alias("p", "token"))
+    return plain_texts(spark, d).select("doc_id", F.posexplode(words(F.col("text"))).alias("p", "token"))
 
 
 @query("e1_frequent_tokens", f"WITH {_KEPT} SELECT doc_id, p, token FROM pos WHERE token IN (SELECT token FROM kept)")
@@ -49,12 +49,13 @@ def j4(spark, d):
     return _ids(spark, d)[0].groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f18_invert_map", f"WITH {_IDS} SELECT idx AS id, token, token AS again FROM v UNION ALL SELECT count(*), '<unk>', '<unk>' FROM v")
+@query("f18_invert_map", f"WITH {_IDS} SELECT idx AS id, token, CASE WHEN idx % 3 = 0 THEN '<unk>' ELSE token END AS again FROM v UNION ALL SELECT count(*), '<unk>', '<unk>' FROM v")
 def f18(spark, d):
-    """id to token and back: swapped columns, then a map look-up with a default."""
+    """id to token: swapped columns, then a look-up in maps that lack every third id."""
     _, vocab = _ids(spark, d)
     inverse = vocab.select(F.col("idx").alias("id"), "token")
-    m = F.create_map(F.col("id"), F.col("token"))
+    other = F.when(F.col("id") % 3 == 0, F.col("id") + 1).otherwise(F.col("id"))
+    m = F.create_map(other, F.col("token"))
     return inverse.select("id", "token", nm.map_get(m, F.col("id"), F.lit("<unk>")).alias("again"))
 
 
@@ -63,7 +64,7 @@ _SG_SQL = f"""sg AS (SELECT c.token AS center, o.token AS context FROM pos c JOI
 
 
 def _sg(spark, d):
-    t = english(spark, d).select(words(F.col("text")).alias("t"))
+    t = plain_texts(spark, d).select(words(F.col("text")).alias("t"))
     return co.skipgram_pairs(t, "t", 2)
 
 
@@ -155,7 +156,7 @@ def e8(spark, d):
 )
 def e10(spark, d):
     """Non-zero entries between vocabulary words; positions of other words still count as distance."""
-    t = english(spark, d).select(words(F.col("text")).alias("t"))
+    t = plain_texts(spark, d).select(words(F.col("text")).alias("t"))
     kept = wv.frequent_tokens(_positions(spark, d), 5).select("token").distinct()
     pairs = co.cooccurrence(t, "t", 3, distance_weight=True)
     pairs = pairs.join(kept.select(F.col("token").alias("a")), "a", "left_semi").join(kept.select(F.col("token").alias("b")), "b", "left_semi")
@@ -184,7 +185,7 @@ def e11(spark, d):
 def e12(spark, d):
     from tidewell.session import cut_lineage
 
-    t = english(spark, d).select(words(F.col("text")).alias("t"))
+    t = plain_texts(spark, d).select(words(F.col("text")).alias("t"))
     kept = wv.frequent_tokens(_positions(spark, d), 5)
     vocab = cut_lineage(terms.vocabulary(kept))
     p = co.cooccurrence(t, "t", 5, distance_weight=True)

@@ -252,43 +252,41 @@ def g7(spark, d):
     return p.select("sample", F.round("penalty", 6).alias("penalty"))
 
 
-def _last_expected(spark, d):
-    """Expected counts and cases of each area in its busiest week."""
-    s = _sir(spark, d)
-    b = s.groupBy("states").agg(F.max(F.struct("cases", "week", "E")).alias("b"))
+def _expected(spark, d):
+    """Cases and expected counts of every week and area."""
     n = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("area"), "n_name")
-    return b.join(n, F.col("states") == F.col("n_name")).select("area", F.col("b.cases").alias("y"), F.col("b.E").alias("expected"))
+    cells = _sir(spark, d).join(n, F.col("states") == F.col("n_name")).where("cases IS NOT NULL AND E IS NOT NULL")
+    return cells.select("area", "week", F.col("cases").alias("y"), F.col("E").alias("expected"))
 
 
-_BUSY_SQL = _SIR_SQL + f""", {_D}, busy AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS area, cases AS y, e AS expected FROM (
-    SELECT *, row_number() OVER (PARTITION BY states ORDER BY cases DESC, week DESC) AS r FROM sir) b
-  JOIN nation ON n_name = states WHERE r = 1)
+_CELLS_SQL = _SIR_SQL + f""", {_D}, cells AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS area, CAST(week AS INTEGER) AS week, cases AS y, e AS expected
+  FROM sir JOIN nation ON n_name = states WHERE cases IS NOT NULL AND e IS NOT NULL)
 """
 
 
 @query(
     "g8_relative_risk",
-    _BUSY_SQL
-    + """SELECT a.area, a.sample, round(exp(beta0 + x), 6) AS theta, round(exp(beta0 + x) * expected, 6) AS mu
-         FROM area_draws a JOIN scalar_draws s ON a.sample = s.sample JOIN busy b ON a.area = b.area""",
+    _CELLS_SQL
+    + """SELECT a.area, b.week, a.sample, round(exp(beta0 + x), 6) AS theta, round(exp(beta0 + x) * expected, 6) AS mu
+         FROM area_draws a JOIN scalar_draws s ON a.sample = s.sample JOIN cells b ON a.area = b.area""",
 )
 def g8(spark, d):
-    j = area_draws(spark, d).join(scalar_draws(spark, d), "sample").join(_last_expected(spark, d), "area")
+    j = area_draws(spark, d).join(scalar_draws(spark, d), "sample").join(_expected(spark, d), "area")
     theta = inc.relative_risk(F.col("x"), F.col("beta0"))
-    return j.select("area", "sample", F.round(theta, 6).alias("theta"), F.round(theta * F.col("expected"), 6).alias("mu"))
+    return j.select("area", "week", "sample", F.round(theta, 6).alias("theta"), F.round(theta * F.col("expected"), 6).alias("mu"))
 
 
 @query(
     "g9_poisson_loglik",
-    _BUSY_SQL
-    + """SELECT a.sample, round(sum(y * ln(exp(beta0 + x) * expected) - exp(beta0 + x) * expected - lgamma(CAST(y + 1 AS DOUBLE))), 5) AS loglik
-         FROM area_draws a JOIN scalar_draws s ON a.sample = s.sample JOIN busy b ON a.area = b.area GROUP BY a.sample""",
+    _CELLS_SQL
+    + """SELECT a.sample, round(sum(y * ln(exp(beta0 + x) * expected) - exp(beta0 + x) * expected - lgamma(CAST(y + 1 AS DOUBLE))), 4) AS loglik
+         FROM area_draws a JOIN scalar_draws s ON a.sample = s.sample JOIN cells b ON a.area = b.area GROUP BY a.sample""",
 )
 def g9(spark, d):
-    j = area_draws(spark, d).join(scalar_draws(spark, d), "sample").join(_last_expected(spark, d), "area")
+    j = area_draws(spark, d).join(scalar_draws(spark, d), "sample").join(_expected(spark, d), "area")
     mu = inc.relative_risk(F.col("x"), F.col("beta0")) * F.col("expected")
-    return j.groupBy("sample").agg(F.round(inc.poisson_loglik(F.col("y"), mu), 5).alias("loglik"))
+    return j.groupBy("sample").agg(F.round(inc.poisson_loglik(F.col("y"), mu), 4).alias("loglik"))
 
 
 _STEP_SQL = f"alpha * x + sigma * {normal_sql('area', 'a.sample', seed=42)}"

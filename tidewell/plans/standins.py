@@ -143,8 +143,8 @@ def articles(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def english(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "text"))
+def plain_texts(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def doc_words(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from tidewell.operators import cooccur as co
 from tidewell.operators import terms
 from tidewell.plans.base import query, table
 from tidewell.session import spread
-from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, WORDS_SQL, articles, doc_words, english
+from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, WORDS_SQL, articles, doc_words, plain_texts
 
 _TOK = f"tok AS (SELECT doc_id, unnest({WORDS_SQL}) AS token FROM documents)"
 _TF = f"{_TOK}, tf AS (SELECT doc_id, token, count(*) AS n FROM tok GROUP BY ALL), df AS (SELECT token, count(*) AS df FROM tf GROUP BY token)"
@@ -92,9 +92,9 @@ def x2(spark, d):
     return terms.vocabulary(_tokens(spark, d), unknown=True)
 
 
-@query("x3_one_hot", f"WITH {_TOK}, v AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx FROM (SELECT DISTINCT token FROM tok)) SELECT token AS word, idx, 1 AS value FROM v WHERE token IN ('the', 'and', 'der')")
+@query("x3_one_hot", f"WITH {_TOK}, v AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx FROM (SELECT DISTINCT token FROM tok)) SELECT token AS word, idx, 1 AS value FROM v")
 def x3(spark, d):
-    return terms.one_hot(terms.vocabulary(_tokens(spark, d)), ["the", "and", "der"])
+    return terms.one_hot(terms.vocabulary(_tokens(spark, d)))
 
 
 @query("x4_log_tf", f"WITH {_TF} SELECT doc_id, token, n, round(1.0::DOUBLE + log10(n), 6) AS tf FROM tf")
@@ -215,9 +215,9 @@ def _word_arrays(spark, d):
     return _docs(spark, d).select("doc_id", tx.words(F.col("text")).alias("t"))
 
 
-@query("x10_window_cooccurrence", f"WITH {_near_sql(3)} SELECT a, b, n::BIGINT AS n FROM pairs WHERE n >= 5")
+@query("x10_window_cooccurrence", f"WITH {_near_sql(3)} SELECT a, b, n::BIGINT AS n FROM pairs")
 def x10(spark, d):
-    return co.cooccurrence(_word_arrays(spark, d), "t", 3).where("n >= 5")
+    return co.cooccurrence(_word_arrays(spark, d), "t", 3)
 
 
 @query("j6_band_pairs", f"WITH {_near_sql(2)} SELECT a, count(*) AS n_contexts, sum(n)::BIGINT AS n_pairs FROM pairs GROUP BY a")
@@ -240,11 +240,11 @@ def e9(spark, d):
     f"""WITH s AS (SELECT doc_id, unnest({_SENT_SQL}) AS text FROM documents),
         n AS (SELECT row_number() OVER () AS sid, {WORDS_SQL} AS t FROM s),
         w AS (SELECT DISTINCT sid, unnest(t) AS token FROM n)
-        SELECT a.token AS a, b.token AS b, count(*) AS n FROM w a JOIN w b ON a.sid = b.sid AND a.token < b.token GROUP BY ALL HAVING count(*) >= 5""",
+        SELECT a.token AS a, b.token AS b, count(*) AS n FROM w a JOIN w b ON a.sid = b.sid AND a.token < b.token GROUP BY ALL""",
 )
 def x11(spark, d):
     s = _docs(spark, d).select(F.explode(tx.sentences(F.col("text"))).alias("s")).select(tx.words(F.col("s")).alias("w"))
-    return co.sentence_cooccurrence(s, "w", min_count=5)
+    return co.sentence_cooccurrence(s, "w")
 
 
 @query("x12_document_cooccurrence", f"WITH {_TF} SELECT token, count(*) AS n_docs, sum(n)::BIGINT AS n, max(n) AS most FROM tf GROUP BY token")
@@ -260,10 +260,13 @@ def x12(spark, d):
     f"""WITH {_near_sql(3)}, m AS (SELECT a, sum(n) AS na FROM pairs GROUP BY a)
         SELECT p.a, p.b, p.n::BIGINT AS n, round(ln(CAST(p.n AS DOUBLE) * (SELECT sum(n)::DOUBLE FROM pairs) / (CAST(x.na AS DOUBLE) * y.na::DOUBLE)), 6) AS pmi,
         round(greatest(ln(CAST(p.n AS DOUBLE) * (SELECT sum(n)::DOUBLE FROM pairs) / (CAST(x.na AS DOUBLE) * y.na::DOUBLE)), 0.0::DOUBLE), 6) AS ppmi
-        FROM pairs p JOIN m x ON p.a = x.a JOIN m y ON p.b = y.a WHERE p.n >= 5""",
+        FROM pairs p JOIN m x ON p.a = x.a JOIN m y ON p.b = y.a""",
 )
 def x13(spark, d):
-    p = co.pmi(co.cooccurrence(_word_arrays(spark, d), "t", 3)).where("n >= 5")
+    from tidewell.session import cut_lineage
+
+    # pairs, margins and total all come from the counted pairs
+    p = co.pmi(cut_lineage(co.cooccurrence(_word_arrays(spark, d), "t", 3)))
     return p.select("a", "b", "n", F.round("pmi", 6).alias("pmi"), F.round("ppmi", 6).alias("ppmi"))
 
 
@@ -329,9 +332,13 @@ def f10(spark, d):
     )
 
 
-@query("f_first_text_field", "SELECT conv_id, turn, text AS chosen FROM conversations")
+@query("f_first_text_field", "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text ELSE role END AS chosen FROM conversations")
 def f11(spark, d):
-    c = table(spark, d, "conversations").withColumnRenamed("text", "sentence").withColumn("review", F.lit("unused"))
+    """Every other row lacks the first field, so its second one counts."""
+    first, second = [n for n in tx.TEXT_FIELDS if n != "text"][:2]
+    c = table(spark, d, "conversations").select(
+        "conv_id", "turn", F.when(F.col("turn") % 2 == 0, F.col("text")).alias(first), F.col("role").alias(second)
+    )
     return c.select("conv_id", "turn", tx.first_text_field(c).alias("chosen"))
 
 
@@ -376,7 +383,7 @@ def _fit(spark, d):
     classes = sorted_index(train.select("label").distinct(), "label", "class_id")
     labelled = train.select("doc_id", "label").join(classes, "label").withColumn("y", F.col("class_id").cast("double"))
     vectors = cl.feature_vectors(tri_a, labelled, vocab.count()).persist()
-    coef, intercept = cl.fit_multinomial(vectors, "y", max_iter=20)
+    coef, intercept = cl.fit_multinomial(vectors, "y")
     vectors.unpersist()
     return test, tri_b, vocab, classes, coef, intercept
 

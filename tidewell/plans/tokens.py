@@ -11,7 +11,7 @@ from tidewell.operators import corpus as cp
 from tidewell.operators import wordpiece as wp
 from tidewell.plans.base import query, table
 from tidewell.session import spread
-from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, english
+from tidewell.plans.standins import MARKS_SQL, SPACES_SQL, plain_texts
 
 
 def _docs(spark, d):

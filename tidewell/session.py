@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Inputs with this many splits are large enough to be left as they are.
+FEW_SPLITS = 16
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A session for one machine.  Clusters bring their own session."""
     builder = (
@@ -62,10 +66,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces than there are cores.
+    """Use all cores on an input of a few splits, such as one small file.
 
-    A large table already has many splits and is returned as it is; only a few big
-    files or row groups are dealt out again before expensive per-row work.
+    Anything with ``FEW_SPLITS`` splits or more is returned as it is, however many cores
+    there are, so the rows of a large table are never moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -53,14 +53,17 @@ _FEATURE = T.StructType(
         T.StructField("properties", T.StructType([T.StructField("name", T.StringType())])),
         T.StructField(
             "geometry",
-            T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.ArrayType(T.ArrayType(_POINT)))]),
+            # the nesting of the coordinates depends on the type, so they are read as text first
+            T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]),
         ),
     ]
 )
 
 
 def geojson_polygons(spark: SparkSession, path: str, one_feature_per_line: bool = False) -> DataFrame:
-    """(name, geometry): rings of points.
+    """(name, geometry): rings of points; the rings of all parts of a multi-polygon in one list.
+
+    Any other geometry type is an error.
 
     A feature collection is one document per file; large collections should be
     written one feature per line so that they can be split.
@@ -71,7 +74,13 @@ def geojson_polygons(spark: SparkSession, path: str, one_feature_per_line: bool
         whole = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
         f = spark.read.schema(whole).option("multiLine", True).json(path).select(F.inline("features"))
     ring = lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return f.select(F.col("properties.name").alias("name"), F.transform("geometry.coordinates", ring).alias("geometry"))
+    kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
+    rings = (
+        F.when(kind == "Polygon", F.from_json(text, T.ArrayType(T.ArrayType(_POINT))))
+        .when(kind == "MultiPolygon", F.flatten(F.from_json(text, T.ArrayType(T.ArrayType(T.ArrayType(_POINT))))))
+        .when(kind.isNotNull(), F.raise_error(F.concat(F.lit("geometry type "), kind)).cast(T.ArrayType(T.ArrayType(_POINT))))
+    )
+    return f.select(F.col("properties.name").alias("name"), F.transform(rings, ring).alias("geometry"))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
