@@ -139,3 +139,62 @@ def test_pair_template(spark):
     t, k = wordpiece.pair_template(a, b, F.lit("[CLS]"), F.lit("[SEP]"))
     r = spark.range(1).select(t.alias("t"), k.alias("k")).first()
     assert r["t"] == ["[CLS]", "x", "[SEP]", "y", "z", "[SEP]"] and r["k"] == [0, 0, 0, 1, 1, 1]
+
+
+def test_ema_starts_at_the_first_row(spark):
+    from tidewell.operators.summaries import ema
+
+    df = spark.createDataFrame([("a", t, 5.0) for t in range(1, 6)], "k string, t long, v double")
+    assert [r["ema"] for r in ema(df, ["k"], "t", "v").orderBy("t").collect()] == [5.0] * 5
+
+
+def test_recurrence_over_gaps_and_from_a_start(spark):
+    from pyspark.sql import functions as F
+
+    from tidewell.operators.ordered import affine_scan
+
+    steps = [*range(10), *range(1000, 1010), *range(5_000_000, 5_000_300)]
+    df = spark.createDataFrame([("a", t) for t in steps], "k string, t long")
+    got = [r["state"] for r in affine_scan(df, ["k"], "t", F.lit(1.0), F.lit(1.0), x0=3.0, block=4).orderBy("t").collect()]
+    assert got == [4.0 + i for i in range(len(steps))]
+
+
+def test_multi_polygon_keeps_its_rings(spark, tmp_path):
+    from tidewell.sources.files import geojson_polygons
+
+    lines = [
+        '{"properties": {"name": "one"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [0, 0]]]}}',
+        '{"properties": {"name": "two"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [0, 0]]], [[[5, 5], [6, 5], [5, 5]]]]}}',
+        '{"properties": {"name": "none"}, "geometry": null}',
+    ]
+    (tmp_path / "areas.json").write_text("\n".join(lines))
+    got = {r["name"]: r["geometry"] for r in geojson_polygons(spark, str(tmp_path), True).collect()}
+    assert len(got["one"]) == 1 and len(got["two"]) == 2 and got["none"] is None
+    assert (got["two"][1][0]["x"], got["two"][1][0]["y"]) == (5.0, 5.0)
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "b.json").write_text('{"properties": {"name": "p"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}')
+    import pytest
+
+    with pytest.raises(Exception, match="geometry type Point"):
+        geojson_polygons(spark, str(tmp_path / "odd"), True).collect()
+
+
+def test_weeks_are_numbered_before_unnamed_areas_go(spark):
+    import datetime as dt
+
+    from tidewell.operators.incidence import expected_counts
+
+    day = lambda n: dt.date(2020, 1, 6) + dt.timedelta(weeks=n)
+    counts = spark.createDataFrame([(day(0), "a", 3), (day(1), None, 4), (day(2), "a", 5)], "week_date date, states string, cases long")
+    people = spark.createDataFrame([("a", 1_000_000)], "states string, population long")
+    assert sorted(r["week"] for r in expected_counts(counts, people).collect()) == [1, 3]
+
+
+def test_components_of_a_path_and_lone_nodes(spark):
+    from tidewell.operators.graph import connected_components
+
+    nodes = spark.range(40).withColumnRenamed("id", "node")
+    pairs = [(i, i + 1) for i in range(30)]
+    edges = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "src long, dst long")
+    got = dict(tuple(r) for r in connected_components(nodes, edges).select("node", "component").collect())
+    assert got == {i: 0 if i <= 30 else i for i in range(40)}

@@ -241,7 +241,8 @@ def ts4(spark, d):
 
 
 # ---- fitted models: checked against a NumPy solve in the tests ----
-N_DRAWS = 200
+CHAINS, CHAIN_DRAWS = 4, 1000
+N_DRAWS = CHAINS * CHAIN_DRAWS
 
 
 def _kept_split(spark, d):
@@ -274,7 +275,10 @@ def ts5(spark, d):
 
 @query("ts6_forecast_draws")
 def ts6(spark, d):
-    return _draws(_kept_split(spark, d)).select("city", "draw", "obs_id", F.round("value", 6).alias("value"))
+    return _draws(_kept_split(spark, d)).select(
+        "city", F.floor(F.col("draw") / CHAIN_DRAWS).cast("int").alias("chain"), (F.col("draw") % CHAIN_DRAWS).alias("draw"), "obs_id",
+        F.round("value", 6).alias("value"),
+    )
 
 
 @query("ts7_back_transform")

@@ -397,10 +397,11 @@ def _predictions(spark, d):
 
 @query("x14_multinomial_fit")
 def x14(spark, d):
+    """The weight of every word in every class."""
     test, tri_b, vocab, classes, coef, intercept = _fit(spark, d)
     c = classes.select(F.col("class_id").cast("int").alias("class_id"), "label")
     w = coef.join(vocab.select(F.col("idx").alias("col"), "token"), "col").join(c, "class_id")
-    return cl.top_words(w.select(F.col("label").alias("class"), "token", "weight"), 10).select("class", "token", F.round("weight", 4).alias("weight"), "rank")
+    return w.select(F.col("label").alias("class"), "token", F.round("weight", 4).alias("weight"))
 
 
 @query("x15_predict")
