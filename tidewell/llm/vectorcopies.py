@@ -202,6 +202,25 @@ def vector_copies(
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@query("op5_vector_copies")
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+
+@query("op5_vector_copies", OP5_SQL)
 def op5_vector_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_copies(table(spark, sf_dir, "embeddings"))
