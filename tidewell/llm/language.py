@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import query, table
+from tidewell.llm.common import materialize, query, table
 
 SEGMENT = 128
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -203,17 +203,17 @@ def train(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11).alias("draw"),
     )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # written first, so that its size is known before the join and no text is shuffled for it
+    counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
     share = F.lit(2.0 * per_language + 20.0) / F.col("n")
-    drawn = rows.join(counts, "lang").where(F.col("draw") < share * F.lit(2.0**53))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     starts = F.transform(
         F.sequence(F.lit(0), F.lit(segments_per_doc - 1)),
         lambda k: F.pmod(F.xxhash64("draw", k), F.greatest(F.length("text") - SEGMENT + 1, F.lit(1))).cast("int") + 1,
     )
-    # the rank needs no text: cut the segments first, so that a long text is never moved
-    cut = drawn.select("lang", "draw", F.transform(starts, lambda s: F.substr("text", s, F.lit(SEGMENT))).alias("parts"))
-    sample = cut.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "rank", "parts")
+    cut = rows.select("lang", "draw", F.transform(starts, lambda s: F.substr("text", s, F.lit(SEGMENT))).alias("parts"))
+    drawn = cut.join(counts, "lang").where(F.col("draw") < share * F.lit(2.0**53))
+    sample = drawn.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "rank", "parts")
     got = sorted((r["lang"], r["rank"], r["parts"]) for r in sample.collect())
     if not got:
         return None
