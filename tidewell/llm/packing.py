@@ -38,7 +38,7 @@ class WordCachedTokenizer:
     to the vocabulary, which go straight to its merge rules; any other chunk is encoded whole.
     """
 
-    def __init__(self, path: str, end_id: int, memo: int = 600_000):
+    def __init__(self, path: str, end_id: int, most_chunks: int = 120_000, most_words: int = 350_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -48,7 +48,7 @@ class WordCachedTokenizer:
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
         self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]}
         self.end = np.array([end_id], dtype="<u4").tobytes()
-        self.limit = memo
+        self.most_chunks, self.most_words = most_chunks, most_words
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -71,9 +71,10 @@ class WordCachedTokenizer:
             self.chunks[chunk] = struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def encode(self, text: str | None) -> bytes:
-        for memo in (self.chunks, self.words):
-            if len(memo) > self.limit:
-                memo.clear()
+        if len(self.chunks) > self.most_chunks:
+            self.chunks.clear()
+        if len(self.words) > self.most_words:
+            self.words.clear()
         text = text or ""
         # Python also splits at U+001C to U+001F, which the vocabulary doesn't take for white space
         chunks = [text] if SEPARATORS.search(text) else text.split()
