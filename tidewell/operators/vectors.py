@@ -20,10 +20,27 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
-def _best(sim: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Top k per row by similarity, smaller id first on ties."""
-    order = np.lexsort((np.broadcast_to(ids, sim.shape), -sim), axis=1)[:, :k]
-    return ids[order], np.take_along_axis(sim, order, axis=1)
+def _best(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int, strip_bytes: int = 32 << 20) -> pd.DataFrame:
+    """The k most similar rows of ``v`` for each row of ``q``, smaller id first on ties.
+
+    Similarities are made for a strip of queries at a time, of at most ``strip_bytes``, and
+    only those that reach a query's k-th largest are sorted.
+    """
+    strip = max(1, strip_bytes // (8 * max(1, len(ids))))
+    found = []
+    for lo in range(0, len(q), strip):
+        sim = q[lo : lo + strip] @ v.T
+        if k < len(ids):
+            row, col = np.nonzero(sim >= np.partition(sim, len(ids) - k, axis=1)[:, -k, None])
+        else:
+            row, col = np.nonzero(np.ones_like(sim, dtype=bool))
+        value = sim[row, col]
+        order = np.lexsort((ids[col], -value, row))
+        row, col, value = row[order], col[order], value[order]
+        first = np.searchsorted(row, np.arange(len(sim)))
+        kept = np.arange(len(row)) - first[row] < k
+        found.append(pd.DataFrame({"query": q_ids[lo + row[kept]], "neighbour": ids[col[kept]], "similarity": value[kept]}))
+    return pd.concat(found) if found else pd.DataFrame({"query": [], "neighbour": [], "similarity": []})
 
 
 def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, dim: int, drop_first: bool = True) -> DataFrame:
@@ -47,9 +64,7 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, dim: int,
             for b in batches:
                 if b.empty or not len(q_ids):
                     continue
-                sim = q @ _unit(np.stack(b["vec"].to_numpy()).astype(float)).T
-                ids, s = _best(sim, b["id"].to_numpy(), keep)
-                yield pd.DataFrame({"query": np.repeat(q_ids, ids.shape[1]), "neighbour": ids.ravel(), "similarity": s.ravel()})
+                yield _best(q, q_ids, _unit(np.stack(b["vec"].to_numpy()).astype(float)), b["id"].to_numpy(), keep)
 
         hits = vectors.mapInPandas(scan, "query long, neighbour long, similarity double")
     return _rank(hits, k, drop_first)
@@ -81,9 +96,8 @@ def _blocked(vectors: DataFrame, queries: DataFrame, keep: int, dim: int, block_
     def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"query": [], "neighbour": [], "similarity": []})
-        sim = _unit(np.stack(a["vec"].to_numpy()).astype(float)) @ _unit(np.stack(b["vec"].to_numpy()).astype(float)).T
-        ids, s = _best(sim, b["id"].to_numpy(), keep)
-        return pd.DataFrame({"query": np.repeat(a["id"].to_numpy(), ids.shape[1]), "neighbour": ids.ravel(), "similarity": s.ravel()})
+        left, right = (_unit(np.stack(x["vec"].to_numpy()).astype(float)) for x in (a, b))
+        return _best(left, a["id"].to_numpy(), right, b["id"].to_numpy(), keep)
 
     return (
         q.groupBy("qb", "vb").cogroup(v.groupBy("qb", "vb")).applyInPandas(product, "query long, neighbour long, similarity double")

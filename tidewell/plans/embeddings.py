@@ -245,6 +245,13 @@ def e15(spark, d):
     return w.select("src", "dst", F.round("weight", 6).alias("weight"))
 
 
+@query("e15_weight_sums", "SELECT vec_id AS src, round(log2(10.0::DOUBLE), 6) AS total FROM embeddings")
+def e15_sums(spark, d):
+    """What defines the widths: the weights of every vector's neighbours add up to log2(k)."""
+    g = ve.neighbour_graph(_vecs(spark, d).select("id", "vec"), 10, 64)
+    return ve.fuzzy_weights(g).groupBy("src").agg(F.round(F.sum("weight"), 6).alias("total"))
+
+
 @query(
     "e15_fuzzy_union",
     f"""WITH w AS (SELECT l_suppkey AS src, l_partkey % 100 AS dst, {uniform_sql('l_suppkey', 'l_partkey % 100', seed=9)} AS w FROM lineitem GROUP BY ALL)
