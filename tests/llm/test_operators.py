@@ -88,7 +88,7 @@ def test_quality_scores_match_the_definition(spark):
     rng = random.Random(3)
     texts = ["".join(rng.choice("ab cdé") for _ in range(rng.randrange(1, 120))) for _ in range(30)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
-    blocks = quality._in_blocks(docs)
+    blocks, _ = quality._in_blocks(docs)
     learned = materialize(blocks.where("doc_id < 20").select("row", "block"), "test")
     grams = materialize(quality.block_grams(blocks, learned, 3), "test")
     counts = grams.groupBy("k", "gram").agg(F.sum("n").alias("c")).where("c > 0")

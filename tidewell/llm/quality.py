@@ -63,8 +63,8 @@ def _language() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("?"))
 
 
-def _in_blocks(docs: DataFrame) -> DataFrame:
-    """The texts as a table bucketed by block, a block being one task's part of the scan."""
+def _in_blocks(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The texts as a table bucketed by block, a block being one task's part of the scan, and its name."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), _language().alias("k"), F.col("text").cast("string").alias("text"),
@@ -74,7 +74,7 @@ def _in_blocks(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = rows.write.option("path", scratch_path(spark, "quality-blocks")).option("compression", "zstd")
     writer.bucketBy(buckets, "block").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def block_grams(blocks: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
@@ -212,7 +212,7 @@ def quality(
     are kept; an empty or null text has no perplexity and is not kept.  A null language
     is a language of its own.  Rows may repeat.
     """
-    blocks = _in_blocks(docs)
+    blocks, name = _in_blocks(docs)
     known = blocks.select("doc_id", "row", "block", "text").where("length(text) > 0").select("doc_id", "row", "block")
     trusted = materialize(
         known.join(trusted_ids.select("doc_id").distinct(), "doc_id").select("row", "block").distinct(), "kn-trusted"
@@ -222,6 +222,7 @@ def quality(
     counts = materialize(grams.groupBy("k", "gram").agg(F.sum("n").alias("c")).where("c > 0"), "kn-counts")
     p = probabilities(counts, grams, order)
     scored = materialize(block_scores(blocks, grams.select("block", "k", "gram").join(p, ["k", "gram"]), order), "kn-scores")
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # from here on only the scores are read
     each = F.floor(F.col("bits") / F.col("n_bytes") * BINS).alias("bin")
     measured = scored.where("n_bytes > 0").join(trusted.where(tested).select("row").distinct(), "row", "left_semi")
     bins = measured.groupBy("k", each).agg(F.count(F.lit(1)).alias("n"))
