@@ -506,6 +506,7 @@ def test_licenses(spark):
     files = [
         (1, "r/LICENSE", "Released under the MIT License.\nCopyright someone"), (2, "r/a.c", "int x;"), (3, "r/s/b.c", f"// {apache}\nint y;"),
         (4, "r/s/t/c.c", "code"), (5, "r/s/t/COPYING", "This work is licensed under the GNU General Public License, version 3."), (6, "q/d.c", "code"),
+        (12, "q/z.py", "# This program is free software; you can redistribute it and/or modify it\n# under the terms of the GNU General Public License as published by the\n# Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.\nprint('mit')"),
         (7, None, "Licensed under CC BY-NC 4.0."), (8, "r/e.c", None), (9, "r/f.c", ""), (10, "r/s/t/u/v/g.c", "the license of this is unclear to me and to all of us"),
         (2, "r/a.c", "int x;"), (11, "LICENSE-top", "nothing about it"), (None, None, None),
     ]
@@ -515,6 +516,7 @@ def test_licenses(spark):
     assert got[2] == ("MIT", "inherited", "r") and got[8] == got[2] and got[9] == got[2]
     assert got[3] == ("Apache-2.0", "header", None)
     assert got[4] == ("GPL-3.0", "inherited", "r/s/t") and got[5] == ("GPL-3.0", "licence file", None)
+    assert got[12] == ("GPL-2.0", "header", None)
     assert got[6] == (None, None, None) and got[7] == ("CC-BY-NC-4.0", "header", None)
     assert got[10] == ("GPL-3.0", "inherited", "r/s/t") and got[11] == (None, None, None) and got[None] == (None, None, None)
     assert licenses.scan(frame).count() == len(files)

@@ -33,9 +33,11 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
 ]
 SIGNS = (
-    r"(?i)licen[sc]e|\bmit\b|permission is hereby granted|redistribution and use|public domain|"
+    r"(?i)licen[sc]e|permission is hereby granted|redistribution and use|public domain|"
     r"creative commons|\bgnu\b|free software|mozilla public|spdx"
 )
+#: A header: lines in a row that begin with a comment mark.
+COMMENT = r"(?m)(?:^[ \t]*(?://|/?\*|#|--|;|%|<!--)[^\n]*(?:\n|\z))+"
 LICENCE_FILE = r"(?i)(?:^|/)(?:un)?(?:licen[sc]e|copying|notice)[^/]*$"
 
 
@@ -44,9 +46,9 @@ def _terms(text: Column) -> Column:
 
 
 def passages(text: Column, whole_file: Column) -> Column:
-    """Distinct passages that speak of a licence: lines, paragraphs, and the text of a licence file."""
+    """Distinct passages that speak of a licence: lines, comment blocks, and the text of a licence file."""
     cut = F.concat(
-        F.split(text, r"\r?\n"), F.split(text, r"\r?\n[ \t]*\r?\n"), F.when(whole_file, F.array(text)).otherwise(F.array())
+        F.split(text, r"\r?\n"), F.regexp_extract_all(text, F.lit(COMMENT), 0), F.when(whole_file, F.array(text)).otherwise(F.array())
     )
     signed = F.array_distinct(F.filter(cut, lambda p: p.rlike(SIGNS)))
     return F.when(text.rlike(SIGNS), signed).otherwise(F.array().cast("array<string>"))
