@@ -37,7 +37,7 @@ SIGNS = (
     r"creative commons|\bgnu\b|free software|mozilla public|spdx"
 )
 #: A header: lines in a row that begin with a comment mark.
-COMMENT = r"(?m)(?:^[ \t]*(?://|/?\*|#|--|;|%|<!--)[^\n]*(?:\n|\z))+"
+COMMENT = r"(?m)(?:^[ \t]*(?://|/?\*|#|--|;|%|<!--)[^\n]*(?:\n|\z))++"
 LICENCE_FILE = r"(?i)(?:^|/)(?:un)?(?:licen[sc]e|copying|notice)[^/]*$"
 
 
