@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewell.session import cut_lineage
+from tidewell.session import cut_lineage, scratch_path
 
 _BUCKET = "_bucket"
 
@@ -128,6 +129,47 @@ def sorted_index(df: DataFrame, col: str, name: str = "idx") -> DataFrame:
     return ranged.join(starts, "_part").select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
 
 
+#: ``monotonically_increasing_id`` is the task's number above this bit and the row's number in it below.
+_PART_BITS = 33
+
+
+def ranked(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "pos", size: str | None = None
+) -> DataFrame:
+    """0-based position per key in the order of columns of any type, nulls first.
+
+    Nothing is assumed about the values: sampled splitters deal the rows to ranges of
+    (keys, order), and equal rows are told apart by the place they were read from, so neither
+    a key nor a value that half of the rows hold is one task's work.  The sorted rows are written once
+    to the shared folder; what is scanned is a count per range and key.  Which of several
+    equal rows comes first is not defined.  ``size`` adds the number of rows of the key.
+    """
+    keys, order, spark = list(keys), list(order), df.sparkSession
+    path = scratch_path(spark, "ranked")
+    (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, *order, "_tie")
+        .sortWithinPartitions(*keys, *order, "_tie")
+        .drop("_tie")
+        .withColumn("_at", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])).parquet(path)
+    placed = placed.withColumn("_part", F.shiftright("_at", _PART_BITS))
+    own = Window.partitionBy(*keys)
+    counts = placed.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(
+        F.col("_part").alias("_p"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(own).alias("_size"),
+    )
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    out = [(F.col("_at") + F.col("_shift")).alias(name), *([F.col("_size").alias(size)] if size else [])]
+    return placed.join(starts, same).select(*df.columns, *out)
+
+
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, name: str = "rank") -> DataFrame:
     """First ``n`` rows per key.  Spark limits each group before the shuffle, so hot keys stay small."""
     w = Window.partitionBy(*keys).orderBy(*order)
