@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewell.llm import common
-from tidewell.llm import decontaminate, fixity, language, licenses, manifest, neardup, packing, pii, quality, sharding, vectorcopies  # noqa: F401 - importing registers the queries
+from tidewell.llm import decontaminate, fixity, language, licenses, manifest, neardup, packing, periodic, pii, quality, sharding, tokenstore, vectorcopies  # noqa: F401 - importing registers the queries
 
 
 def queries():
