@@ -125,72 +125,66 @@ def open_file(path: str) -> TokenFile:
 
 # -- tokens of whole texts --------------------------------------------------------------------
 
-# White space, then what isn't: no token of the vocabulary reaches over the place before a run of white
-# space.  Texts with other white space than this are encoded whole.
-_PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-# A piece that is one word and marks after it goes straight to the merge rules.
-_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
-_WORD_AND_MARKS = re.compile(f"( ?[{_LETTERS}]+)((?:[!-/:-@\\[-`{{-~](?<!'))*)")
+# The vocabulary's own cut into words, for texts of these characters only (ASCII and the Latin letters up
+# to U+017F), where it needs no tables of Unicode.  Other texts, and those with a marker, are encoded whole.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+_PLAIN = re.compile(f"[\t\n\r -~{_LETTERS}]*")
+_WORDS = re.compile(
+    f"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \t\n\r0-9{_LETTERS}]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+)
 
 
-class PieceTokenizer:
-    """Ids of whole texts, the same as the tokenizer's, by bounded memos of pieces and words."""
+class WordTokenizer:
+    """Ids of whole texts, the same as the tokenizer's; words are kept in a bounded memo.
 
-    def __init__(self, path: str, end_id: int, most: int = 200_000):
+    The memo has two generations: when the younger is full it becomes the older one, and what is still
+    asked for moves back, so frequent words stay.
+    """
+
+    def __init__(self, path: str, end_id: int, most: int = 300_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
-        shown = [0x20, *range(0x21, 0x7F), *range(0xC0, 0x180)]
-        self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in shown}
+        plain = [c for c in range(0x180) if _PLAIN.fullmatch(chr(c))]
+        self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in plain}
         self.end = struct.pack("<I", end_id)
         self.most = most
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        known = self.words.get(word)
+        known = self.young.get(word) or self.old.get(word)
         if known is None:
             ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.visible))]
-            known = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            known = struct.pack(f"<{len(ids)}I", *ids)
+        self.young[word] = known
         return known
 
-    def _learn(self, missing: set[str]) -> None:
-        whole = []
-        for piece in missing:
-            if m := _WORD_AND_MARKS.fullmatch(piece):
-                self.pieces[piece] = self._word(m[1]) + (self._word(m[2]) if m[2] else b"")
-            else:
-                whole.append(piece)
-        for piece, got in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self.pieces[piece] = struct.pack(f"<{len(got.ids)}I", *got.ids)
-
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids of a text (null: none) and the end id."""
-        for memo in (self.pieces, self.words):
-            if len(memo) > self.most:
-                memo.clear()
         text = text or ""
-        pieces = [text] if _OTHER_SPACE.search(text) else _PIECE.findall(text)
-        ids = list(map(self.pieces.get, pieces))
-        gaps = [i for i, known in enumerate(ids) if known is None]
-        if gaps:
-            self._learn({pieces[i] for i in gaps})
-            for i in gaps:
-                ids[i] = self.pieces[pieces[i]]
+        if not _PLAIN.fullmatch(text) or any(m in text for m in self.markers):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() + self.end
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        words = _WORDS.findall(text)
+        ids = list(map(self.young.get, words))
+        if None in ids:
+            ids = [known or self._word(word) for known, word in zip(ids, words)]
         ids.append(self.end)
         return b"".join(ids)
 
 
-_TOKENIZERS: dict[tuple[str, int], PieceTokenizer] = {}
+_TOKENIZERS: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def _tokenizer(path: str, end_id: int) -> PieceTokenizer:
+def _tokenizer(path: str, end_id: int) -> WordTokenizer:
     """One per worker process: its memos live from task to task."""
     if (path, end_id) not in _TOKENIZERS:
-        _TOKENIZERS[path, end_id] = PieceTokenizer(path, end_id)
+        _TOKENIZERS[path, end_id] = WordTokenizer(path, end_id)
     return _TOKENIZERS[path, end_id]
 
 
