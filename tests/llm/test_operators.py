@@ -186,9 +186,7 @@ def check_packed(got, docs, codec, capacity):
 def plain_codec():
     from tokenizers import Tokenizer
 
-    codec = Tokenizer.from_file(packing.vocabulary())
-    codec.encode_special_tokens = True
-    return codec
+    return Tokenizer.from_file(packing.vocabulary())
 
 
 def test_packing(spark, odd_docs, no_docs):
@@ -204,6 +202,31 @@ def test_packing(spark, odd_docs, no_docs):
     assert rows(packing.pack(no_docs, packing.vocabulary())) == []
 
 
+def test_packing_takes_the_tokenizers_ids():
+    codec = packing.WordCachedTokenizer(packing.vocabulary(), 2, most=4)
+    assert np.frombuffer(codec.encode("end <|endoftext|> of it"), "<u4").tolist() == [806, 49407, 539, 585, 2]
+    rng = random.Random(8)
+    letters = "aB É'ſŉ.,\n\t 9 ×İ\r!ß\u0301\x1c\x0b"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(70))) for _ in range(4000)]
+    texts += ["I'LL don't 's''t", "x<|startoftext|>y", "", "日本語 ²½ªº", "ǅ Σίσυφος ﬁ Å"]
+    for text, got in zip(texts, codec.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == [*got.ids, 2], text
+
+
+def test_packing_groups(spark):
+    """Groups are bounded by pieces, for long texts and for repeated rows, and don't follow the partitions."""
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["one", "two", "three"]) for _ in range(2000))) for i in range(60)]
+    docs += [(500, "one row that half of the table repeats")] * 900 + [(500, None)] * 3 + [(None, "no id")] * 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    one, other = (packing.pack(frame.repartition(n), packing.vocabulary(), capacity=64, group_pieces=100).collect() for n in (2, 5))
+    check_packed(one, [d for d in docs if d[0] is not None and d[0] < 500], plain_codec(), 64)
+    assert sorted(map(repr, one)) == sorted(map(repr, other))
+    assert sum(r["start"] == 0 for r in one) == len(docs)
+    sizes = Counter(r["sequence_id"] >> 32 for r in one)
+    assert max(sizes.values()) <= 150
+
+
 def test_first_fit_decreasing():
     rng = random.Random(6)
     for _ in range(50):

@@ -1,7 +1,7 @@
 """First-fit decreasing packing of token sequences.
 
 Documents are tokenised where they are read, cut at every ``capacity`` tokens, and
-dealt to random groups of about ``group_pieces`` pieces.  Each group is packed alone:
+dealt to random groups of ``group_pieces`` pieces or somewhat fewer.  Each group is packed alone:
 its pieces, longest first, go to the first open sequence with room, which a
 tournament tree over the free space of all sequences finds in logarithmic time.
 A group, and so a task's memory, has the same size for any number of documents.
@@ -19,71 +19,56 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import query, table
+from tidewell.llm.common import materialize, query, table
 
 # Letters that no normal form changes and that lower-case one to one: ASCII and the Latin
-# letters up to U+017F but for the dotted capital I.
-_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
-WORD_AND_MARKS = re.compile(f"([{_LATIN}]+)((?:[!-/:-@\\[-`{{-~](?<!'))*)")
-
-SEPARATORS = re.compile("[\x1c-\x1f]")
+# letters up to U+017F but for the dotted capital I.  Texts of these, ASCII signs and common white space
+# are cut as the vocabulary does, without tables of Unicode; others, and those with a marker, are encoded whole.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+_PLAIN = re.compile(f"[\t\n\r -~{_LETTERS}]*")
+_WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[0-9]|[^ \t\n\r0-9{_LETTERS}]+")
 
 
 class WordCachedTokenizer:
-    """Token ids of whole texts as little-endian 32-bit integers.
+    """Token ids of whole texts as little-endian 32-bit integers, the same as the tokenizer's.
 
-    The vocabulary splits at white space before anything else, so a text's ids are the
-    ids of its white-space-separated chunks one after another.  Chunks and the words in
-    them are kept in bounded memos.  A chunk of Latin letters and trailing marks is two words
-    to the vocabulary, which go straight to its merge rules; any other chunk is encoded whole.
+    Words go straight to the merge rules and are kept in a bounded memo of two generations: when
+    the younger is full it becomes the older, from which what is still asked for moves back.
     """
 
-    def __init__(self, path: str, end_id: int, most_chunks: int = 120_000, most_words: int = 350_000):
+    def __init__(self, path: str, end_id: int, most: int = 300_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a marker's name in a text is text
-        self.merges = self.tokenizer.model
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]}
+        plain = [c for c in range(0x21, 0x180) if _PLAIN.fullmatch(chr(c))]
+        self.visible = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in plain}
         self.end = np.array([end_id], dtype="<u4").tobytes()
-        self.most_chunks, self.most_words = most_chunks, most_words
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        known = self.words.get(word)
+        known = self.young.get(word) or self.old.get(word)
         if known is None:
             shown = word if word.isascii() else word.translate(self.visible)
-            ids = [t.id for t in self.merges.tokenize(shown)]
-            known = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            known = struct.pack(f"<{len(ids)}I", *ids)
+        self.young[word] = known
         return known
 
-    def _learn(self, missing: set[str]) -> None:
-        whole = []
-        for chunk in missing:
-            if m := WORD_AND_MARKS.fullmatch(chunk):
-                self.chunks[chunk] = self._word(m[1].lower()) + (self._word(m[2]) if m[2] else b"")
-            else:
-                whole.append(chunk)
-        for chunk, got in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self.chunks[chunk] = struct.pack(f"<{len(got.ids)}I", *got.ids)
-
     def encode(self, text: str | None) -> bytes:
-        if len(self.chunks) > self.most_chunks:
-            self.chunks.clear()
-        if len(self.words) > self.most_words:
-            self.words.clear()
         text = text or ""
-        # Python also splits at U+001C to U+001F, which the vocabulary doesn't take for white space
-        chunks = [text] if SEPARATORS.search(text) else text.split()
-        ids = list(map(self.chunks.get, chunks))
-        gaps = [i for i, known in enumerate(ids) if known is None]
-        if gaps:
-            self._learn({chunks[i] for i in gaps})
-            for i in gaps:
-                ids[i] = self.chunks[chunks[i]]
+        if not _PLAIN.fullmatch(text) or any(m in text for m in self.markers):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() + self.end
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        words = _WORDS.findall(text.lower())
+        ids = list(map(self.young.get, words))
+        if None in ids:
+            ids = [known or self._word(word) for known, word in zip(ids, words)]
         ids.append(self.end)
         return b"".join(ids)
 
@@ -135,34 +120,56 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
+_CUT = f"row long, n long, {PIECES}"
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
-    """Documents as pieces of at most ``capacity`` tokens."""
+    """Documents as pieces of at most ``capacity`` tokens; ``row`` and ``n`` are carried along."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _tokenizer(tokenizer_path, end_id)
         schema = pa.schema(
-            [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-             ("doc_tokens", pa.int64())]
+            [("row", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
+             ("ids", pa.binary()), ("doc_tokens", pa.int64())]
         )
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[list] = [[] for _ in schema]
             held = 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            for row, n, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "n", "doc_id")), batch.column("text")):
                 ids = codec.encode(text.as_py())
                 tokens = len(ids) // 4
                 for start in range(0, tokens, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]
-                    for column, value in zip(rows, (doc_id, start, len(part) // 4, part, tokens)):
+                    for column, value in zip(rows, (row, n, doc_id, start, len(part) // 4, part, tokens)):
                         column.append(value)
                 held += len(ids)
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema)], schema=schema)
-                    rows, held = [[], [], [], [], []], 0
+                    rows, held = [[] for _ in schema], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return docs.select("row", "n", "doc_id", "text").mapInArrow(cut, _CUT)
+
+
+def _different(docs: DataFrame) -> DataFrame:
+    """``row`` (a hash of it), ``n``, ``doc_id`` and ``text`` of every different row, ``n`` of each.
+
+    Equal rows are found by two 64-bit hashes.  Only rows that repeat are shuffled, one for
+    each task that read them.
+    """
+    names = ["h1", "h2"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumns(
+        {"h1": F.xxhash64("doc_id", "text"), "h2": F.xxhash64(F.lit(1), "text", "doc_id")}
+    )
+    repeats = materialize(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "packing-repeats")
+    one = F.lit(1).cast("long").alias("n")
+    if repeats.isEmpty():
+        return rows.select(F.col("h1").alias("row"), one, "doc_id", "text")
+    many = rows.join(repeats, names).groupBy(*names).agg(
+        F.first("n").alias("n"), F.first("doc_id").alias("doc_id"), F.first("text").alias("text")
+    )
+    single = rows.join(repeats, names, "left_anti").select(F.col("h1").alias("row"), one, "doc_id", "text")
+    return single.unionByName(many.select(F.col("h1").alias("row"), "n", "doc_id", "text"))
 
 
 def pack(
@@ -178,24 +185,31 @@ def pack(
     A document's tokens are its ids and ``end_id``; a null text counts as empty, so every
     row yields at least one piece.  Returns a row per piece: ``doc_id``, ``start`` (tokens of
     the document before it), ``length``, ``ids`` (little-endian 32-bit), ``doc_tokens``,
-    ``sequence_id``, ``offset`` (gapless from 0 in each sequence).  Groups follow a seeded
-    random number per row, not the id, so repeated ids do not meet in one group;
-    repeated rows are packed as often as they occur.  Other columns are ignored.
+    ``sequence_id``, ``offset`` (gapless from 0 in each sequence).  Repeated rows are packed as
+    often as they occur.  Other columns are ignored.
+
+    A piece's group is drawn by a hash of its row, the number of the copy and its start, so repeated ids and
+    rows do not meet in one group and the result is the same for any partitioning.  A token has at least a byte of
+    text, so the texts' sizes bound the pieces, and groups are as many as that bound needs: neither long texts nor
+    many make a group larger.
     """
-    rows = docs.count()
-    groups = max(1, -(-rows // group_pieces))
+    bound = docs.agg(F.sum(1 + F.floor(F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) / F.lit(capacity))))
+    groups = max(1, -(-(bound.first()[0] or 0) // group_pieces))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "start"], kind="stable").reset_index(drop=True)
+        group = group.sort_values(["doc_id", "start", "draw"], kind="stable").reset_index(drop=True)
         sequence, offset = first_fit_decreasing(group["length"].tolist(), capacity)
         first = int(group["part"].iloc[0]) << 32
         group["sequence_id"] = first + np.array(sequence, dtype=np.int64)
         group["offset"] = np.array(offset, dtype=np.int64)
-        return group.drop(columns="part")
-
-    cut = pieces(docs, tokenizer_path, end_id, capacity)
-    part = F.floor(F.rand(seed) * groups).cast("long")
-    return cut.withColumn("part", part).groupBy("part").applyInPandas(fit, PACKED)
+        return group.drop(columns=["part", "draw"])
+
+    cut = pieces(_different(docs), tokenizer_path, end_id, capacity)
+    copies = cut.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    draw = F.xxhash64(F.lit(seed), "row", "copy", "start")
+    dealt = copies.withColumn("draw", draw).withColumn("part", F.pmod("draw", F.lit(groups).cast("long")))
+    names = [f.split()[0] for f in PIECES.split(", ")]
+    return dealt.select("part", "draw", *names).groupBy("part").applyInPandas(fit, PACKED)
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
