@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions.text import WORD_OR_MARK, tidy_joined_text, words_and_marks
-from tidewell.session import cut_lineage
+from tidewell.operators.subword_train import WINDOW, train_merges
 
 # Special tokens, in id order.
 SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
@@ -42,44 +47,36 @@ def pair_scores(words: DataFrame, min_frequency: int = 2) -> DataFrame:
     return j.select("a", "b", "freq", score.alias("score"))
 
 
-def merge_pair(pieces: Column, a: str, b: str, merged: str) -> Column:
-    """Replace neighbouring ``a, b`` by ``merged``, left to right."""
-    step = lambda acc, x: F.when(
-        (x == b) & (F.try_element_at(acc, F.lit(-1)) == a),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.lit(merged))),
-    ).otherwise(F.concat(acc, F.array(x)))
-    changed = F.aggregate(pieces, F.array().cast("array<string>"), step)
-    return F.when(F.array_contains(pieces, a) & F.array_contains(pieces, b), changed).otherwise(pieces)
+def best_pair(words: DataFrame, min_frequency: int = 2) -> tuple[str, str, float] | None:
+    """The pair of the highest score over all words; of equal ones the first in order."""
+    best = pair_scores(words, min_frequency).orderBy(F.col("score").desc(), "a", "b").limit(1).collect()
+    return (best[0]["a"], best[0]["b"], best[0]["score"]) if best else None
 
 
-def train(counts: DataFrame, vocab_size: int, min_frequency: int = 2, every: int = 8) -> tuple[list[str], list[tuple]]:
+def train(
+    counts: DataFrame, vocab_size: int, min_frequency: int = 2, window: int = WINDOW, rule: str = "appended"
+) -> tuple[list[str], list[tuple]]:
     """Vocabulary in id order and the merges (a, b, merged, score).
 
-    The table of distinct words with their pieces is the state.  A round is one
-    aggregation, of which the driver sees the best pair only, and one rewrite of the
-    words that hold it.  Ties go to the pair that sorts first.  Every few rounds the
-    state is written out, so plans stay short and a lost executor repeats little.
+    Merges go on until the vocabulary has ``vocab_size`` entries; ties go to the pair that sorts
+    first (``subword_train`` says how many are made per pass).  With the rule ``appended`` the five special tokens count towards the
+    size and come first, then the alphabet, then merges as they are made.  With ``sorted`` the
+    alphabet and the merges count, and the vocabulary is the four special tokens without the mask and
+    the first entries of the sorted rest, cut to the size.
     """
-    words = cut_lineage(counts.select("word", "n", initial_pieces(F.col("word")).alias("pieces")))
+    if rule not in ("appended", "sorted"):
+        raise ValueError(f"unknown rule {rule}")
+    words = counts.select("word", "n", initial_pieces(F.col("word")).alias("pieces"))
     alphabet = [r["t"] for r in words.select(F.explode("pieces").alias("t")).distinct().orderBy("t").collect()]
-    vocab = SPECIALS + alphabet
-    known, merges = set(vocab), []
-    rounds = 0
-    while len(vocab) < vocab_size:
-        best = pair_scores(words, min_frequency).orderBy(F.col("score").desc(), "a", "b").limit(1).collect()
-        if not best:
-            break
-        a, b, score = best[0]["a"], best[0]["b"], best[0]["score"]
-        merged = a + b[2:]
-        merges.append((a, b, merged, score))
-        if merged not in known:
-            known.add(merged)
-            vocab.append(merged)
-        words = words.withColumn("pieces", merge_pair(F.col("pieces"), a, b, merged))
-        rounds += 1
-        if rounds % every == 0:
-            words = cut_lineage(words)
-    return vocab, merges
+    held = len(alphabet) + (len(SPECIALS) if rule == "appended" else 0)
+    merges = train_merges(
+        words, {*alphabet, *SPECIALS}, vocab_size - held, min_frequency, lambda w: best_pair(w, min_frequency), window
+    )
+    # a merge can spell an entry that is there already
+    made = [t for t in dict.fromkeys(m[2] for m in merges) if t not in {*alphabet, *SPECIALS}]
+    if rule == "appended":
+        return [*SPECIALS, *alphabet, *made], merges
+    return [*SKIPPED_BY_NAME, *sorted([*alphabet, *made])[: max(0, vocab_size - len(SKIPPED_BY_NAME))]], merges
 
 
 def vocab_table(spark, vocab: list[str]) -> DataFrame:
@@ -135,15 +132,15 @@ _ENCODING = T.StructType(
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", unknown: str = "[UNK]") -> DataFrame:
-    """Add ``ids, tokens, starts, ends`` (character offsets in the lower-case text).
+    """Add ``ids, tokens, starts, ends`` (character offsets in the lower-case text); a null text counts as empty.
 
     Words are cut in generated code.  With a vocabulary of bounded size the pieces
     are looked up in place: whole documents, no shuffle, each distinct word of a
     task segmented once.  A larger vocabulary goes through ``segment_words``.
     """
-    low = F.lower(F.col(text))
-    gaps = F.transform(F.split(low, WORD_OR_MARK, -1), F.length)
-    cut = docs.withColumns({"_words": words_and_marks(F.col(text)), "_gaps": gaps})
+    whole = F.coalesce(F.col(text), F.lit(""))
+    gaps = F.transform(F.split(F.lower(whole), WORD_OR_MARK, -1), F.length)
+    cut = docs.withColumns({"_words": words_and_marks(whole), "_gaps": gaps})
     if vocab.limit(MAX_SENT_TOKENS + 1).count() > MAX_SENT_TOKENS:
         return _encode_by_join(cut, vocab, docs.columns, unknown)
     table = docs.sparkSession.sparkContext.broadcast({r["token"]: r["id"] for r in vocab.collect()})
@@ -282,28 +279,86 @@ def decode(
     return named.withColumn("decoded", tidy_joined_text(glued)).drop("_tokens")
 
 
-class SubwordTokenizer:
-    """``fit`` on a table of texts, then ``transform`` tables with the fitted model."""
+class _SubwordParams(Params):
+    inputCol = Param(Params._dummy(), "inputCol", "column of texts", TypeConverters.toString)
+    vocabSize = Param(Params._dummy(), "vocabSize", "entries of the vocabulary", TypeConverters.toInt)
+    minFrequency = Param(Params._dummy(), "minFrequency", "least count of a merged pair", TypeConverters.toInt)
+    rule = Param(Params._dummy(), "rule", "appended or sorted", TypeConverters.toString)
+
+
+class SubwordTokenizer(Estimator, _SubwordParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Estimator of a subword vocabulary: ``fit`` on a table of texts, alone or as a stage of a ``Pipeline``."""
 
-    def __init__(self, vocab_size: int, min_frequency: int = 2):
-        self.vocab_size = vocab_size
-        self.min_frequency = min_frequency
+    def __init__(self, vocab_size: int = 4000, min_frequency: int = 2, text: str = "text", rule: str = "appended", **params):
+        super().__init__()
+        self._setDefault(inputCol="text", vocabSize=4000, minFrequency=2, rule="appended")
+        self._set(**({"inputCol": text, "vocabSize": vocab_size, "minFrequency": min_frequency, "rule": rule} | params))
 
-    def fit(self, docs: DataFrame, text: str = "text") -> "SubwordModel":
-        vocab, merges = train(word_counts(docs, text), self.vocab_size, self.min_frequency)
-        return SubwordModel(vocab, merges)
+    def _fit(self, dataset: DataFrame) -> "SubwordModel":
+        counts = word_counts(dataset, self.getOrDefault("inputCol"))
+        size, least = self.getOrDefault("vocabSize"), self.getOrDefault("minFrequency")
+        vocab, merges = train(counts, size, least, rule=self.getOrDefault("rule"))
+        return self._copyValues(SubwordModel(vocab, merges))
 
 
-class SubwordModel:
+class SubwordModel(Model, _SubwordParams, MLReadable, MLWritable):
+    """A fitted vocabulary: ``transform`` tables of texts, ``encode`` and ``decode`` single ones."""
+
     def __init__(self, vocab: list[str], merges: list[tuple]):
-        self.vocab = vocab
-        self.merges = merges
+        super().__init__()
+        self._setDefault(inputCol="text", vocabSize=4000, minFrequency=2, rule="appended")
+        self.vocab = list(vocab)
+        self.merges = [tuple(m) for m in merges]
 
     def vocab_df(self, spark) -> DataFrame:
         return vocab_table(spark, self.vocab)
 
-    def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        return add_specials(encode(docs, self.vocab_df(docs.sparkSession), text))
+    def get_vocab(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.vocab)}
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return add_specials(encode(dataset, self.vocab_df(dataset.sparkSession), self.getOrDefault("inputCol")))
+
+    def encode(self, text: str) -> dict:
+        """Ids, tokens, character offsets and masks of one text, by a job of one row."""
+        spark = SparkSession.active()
+        one = self._transform(spark.createDataFrame([(text,)], f"`{self.getOrDefault('inputCol')}` string"))
+        return one.drop(self.getOrDefault("inputCol")).first().asDict()
 
     def decode(self, df: DataFrame, ids: str = "ids", skip: str | None = "id") -> DataFrame:
         return decode(df, ids, self.vocab_df(df.sparkSession), skip)
+
+    def decode_ids(self, ids: list[int], skip: str | None = "id") -> str:
+        """The text of one list of ids."""
+        return self.decode(SparkSession.active().createDataFrame([(ids,)], "ids array<int>"), "ids", skip).first()["decoded"]
+
+    def write(self) -> MLWriter:
+        return _SubwordWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _SubwordReader()
+
+
+class _SubwordWriter(MLWriter):
+    def __init__(self, model: SubwordModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.vocab_df(self.sparkSession).write.parquet(f"{path}/vocab")
+        merges = [(i, *m) for i, m in enumerate(self.model.merges)]
+        frame = self.sparkSession.createDataFrame(merges, "rank int, a string, b string, merged string, score double")
+        frame.write.parquet(f"{path}/merges")
+
+
+class _SubwordReader(MLReader):
+    def load(self, path: str) -> SubwordModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        vocab = self.sparkSession.read.parquet(f"{path}/vocab").orderBy("id").collect()
+        merges = self.sparkSession.read.parquet(f"{path}/merges").orderBy("rank").collect()
+        model = SubwordModel([r["token"] for r in vocab], [tuple(r)[1:] for r in merges])
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model

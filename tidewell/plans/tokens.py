@@ -47,27 +47,56 @@ def k3(spark, d):
     return wp.pair_scores(words).select("a", "b", "freq", F.round(F.col("score") * F.lit(1e6), 6).alias("score_ppm"))
 
 
-def _trained(spark, d, merges=6):
-    counts = wp.word_counts(_docs(spark, d))
+def _merge_rounds(rounds):
+    """SQL for the first merges: pieces as text between blanks, a round per common table."""
+    steps = [f"""r0 AS MATERIALIZED (SELECT word, n, array_to_string(list_transform(p, lambda c: ' ' || c || ' '), '') AS s FROM pc)"""]
+    for i in range(rounds):
+        steps.append(f"""q{i} AS MATERIALIZED (SELECT word, n, string_split(trim(s, ' '), '  ') AS p FROM r{i}),
+        t{i} AS (SELECT t, sum(n) AS f FROM (SELECT unnest(p) AS t, n FROM q{i}) GROUP BY t),
+        b{i} AS MATERIALIZED (SELECT a, b, freq::DOUBLE / (x.f::DOUBLE * y.f::DOUBLE) AS score FROM
+          (SELECT z[1] AS a, z[2] AS b, sum(n) AS freq FROM (SELECT unnest(list_zip(p[:-2], p[2:])) AS z, n FROM q{i} WHERE len(p) > 1) GROUP BY ALL HAVING sum(n) >= 2)
+          JOIN t{i} x ON x.t = a JOIN t{i} y ON y.t = b ORDER BY score DESC, a, b LIMIT 1),
+        r{i + 1} AS MATERIALIZED (SELECT word, n, replace(s, ' ' || a || '  ' || b || ' ', ' ' || a || b[3:] || ' ') AS s FROM r{i}, b{i})""")
+    rows = " UNION ALL ".join(f"SELECT {i}::INTEGER AS rank, a, b, a || b[3:] AS merged, score FROM b{i}" for i in range(rounds))
+    return f"WITH {_PIECES}, {', '.join(steps)} {rows}"
+
+
+def _merges_of(spark, d, size):
     from tidewell.session import cut_lineage
 
-    counts = cut_lineage(counts)
-    alphabet = counts.select(F.explode(wp.initial_pieces(F.col("word"))).alias("t")).distinct().count()
-    return wp.train(counts, len(wp.SPECIALS) + alphabet + merges)
+    vocab, merges = wp.train(cut_lineage(wp.word_counts(_docs(spark, d))), size)
+    rows = [(i, a, b, m, float(s)) for i, (a, b, m, s) in enumerate(merges)]
+    return vocab, spark.createDataFrame(rows, "rank int, a string, b string, merged string, score double")
+
+
+@query("k4_first_merges", _merge_rounds(8))
+def k4_first(spark, d):
+    """The first merges, of which SQL can follow a few."""
+    return _merges_of(spark, d, VOCABULARY)[1].where("rank < 8")
+
+
+#: Entries of a trained vocabulary.
+VOCABULARY = 4000
 
 
 @query("k4_merges")
 def k4(spark, d):
-    """The first merges; every round reads all words."""
-    _, merges = _trained(spark, d)
-    rows = [(i, a, b, m, float(s)) for i, (a, b, m, s) in enumerate(merges)]
-    return spark.createDataFrame(rows, "rank int, a string, b string, merged string, score double")
+    """All merges up to a vocabulary of four thousand entries."""
+    return _merges_of(spark, d, VOCABULARY)[1]
 
 
 @query("k5_vocabulary_with_specials")
 def k5(spark, d):
-    vocab, _ = _trained(spark, d, 2)
-    return wp.vocab_table(spark, vocab)
+    """Both rules: special tokens first and in the size, or sorted entries cut to the size."""
+    from tidewell.session import cut_lineage
+
+    counts = cut_lineage(wp.word_counts(_docs(spark, d)))
+    out = None
+    for rule in ("appended", "sorted"):
+        vocab, _ = wp.train(counts, VOCABULARY, rule=rule)
+        own = wp.vocab_table(spark, vocab).withColumn("rule", F.lit(rule))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 # a vocabulary by rule, so that SQL can follow the encoding: frequent words whole, single
@@ -187,6 +216,29 @@ def k10(spark, d):
     return wp.decode(s.select("doc_id", "ids"), "ids", vocab, skip="id").select("doc_id", "decoded")
 
 
+@query(
+    "u3_tokenizer",
+    f"""WITH j AS (SELECT doc_id, coalesce(array_to_string({MARKS_SQL}, ' '), '') AS t FROM documents)
+        SELECT doc_id, {_TIDY_SQL.format(x='t')} AS decoded, true AS same_after_reload FROM j""",
+)
+def u3(spark, d):
+    """Train, save, load, encode and decode: every character is in the vocabulary, so words come back whole."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from tidewell.session import scratch_path
+
+    docs = _docs(spark, d).select("doc_id", "text")
+    fitted = Pipeline(stages=[wp.SubwordTokenizer(VOCABULARY)]).fit(docs)
+    path = scratch_path(spark, "tokenizer")
+    fitted.write().save(path)
+    again = PipelineModel.load(path).stages[0]
+    encoded = fitted.transform(docs).select("doc_id", "text", F.col("ids").alias("first"))
+    same = again.transform(encoded).withColumn("same", F.col("ids") == F.col("first"))
+    same_names = F.lit(again.get_vocab() == fitted.stages[0].get_vocab())
+    return again.decode(same.select("doc_id", "ids", "same")).select(
+        "doc_id", "decoded", (F.col("same") & same_names).alias("same_after_reload")
+    )
+
+
 @query("k11_export_vocabulary", f"WITH {_RULE} SELECT token, id FROM vocab")
 def k11(spark, d):
     return _rule_vocab(spark, d)
