@@ -508,6 +508,36 @@ def test_near_duplicates(spark, block):
         assert got[i]["kept"] == (roots.get(i, i) == i)
 
 
+def test_rows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Were the first hash of all rows the same, no row would be lost and none joined to another."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(30)) for _ in range(12)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(20, texts[0]), (21, texts[1] + " x"), (22, None), (None, texts[2])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = sorted(map(repr, neardup.near_duplicates(frame).drop("row", "row2").collect()))
+    kept = sorted(map(repr, neardup.without_copies(frame).collect()))
+    whole = neardup._names
+    monkeypatch.setattr(neardup, "_names", lambda d, t: whole(d, t) | {"row": F.lit(7).cast("long")})
+    assert sorted(map(repr, neardup.near_duplicates(frame).drop("row", "row2").collect())) == want
+    assert sorted(map(repr, neardup.without_copies(frame).collect())) == kept and len(kept) == 13
+
+
+def test_wide_arrow_offsets(spark, odd_docs):
+    """The operators on buffers take 64-bit offsets as well."""
+    def found():
+        near = neardup.near_duplicates(odd_docs).drop("row", "row2").collect()
+        named = language.predict(odd_docs.select("doc_id", "text"), language.train(odd_docs)).collect()
+        return sorted(map(repr, near)), sorted(map(repr, named))
+
+    want = found()
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        assert found() == want
+        assert packing.pack(odd_docs, packing.vocabulary()).count() >= odd_docs.count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "false")
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = neardup.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
@@ -563,3 +593,35 @@ def test_license_cosines_match_plain_tf_idf(spark):
     for i, b in enumerate(bags):
         own = vector(b)
         assert got[i] == pytest.approx(max(sum(own.get(w, 0) * x for w, x in vector(p).items()) for p in patterns), abs=1e-8)
+
+
+def test_candidates_of_a_contact_list(spark):
+    """Thousands of spans in one text: base and looser ones, and the text put together again, as in plain Python."""
+    rng = random.Random(12)
+    parts = ["mail a.b@c.de", "10.0.0.1", "+1 (743) 555-3824", "4111 1111 1111 1111", "call 555-123-4567", "joe [at] x [dot] org", "é", "x", "1.2.3.4.5"]
+    text = "; ".join(rng.choice(parts) for _ in range(6000))
+    frame = spark.createDataFrame([(1, text), (2, "é" * 50 + " a@b.c " + "ü" * 700 + " 555-123-4567")], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.candidates(frame).collect()}
+    for doc in found.values():
+        whole = doc["text"]
+        strict = [s for s in doc["candidates"] if s["base"]]
+        assert [f"{pii.KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in strict] == plain_base(whole)
+        assert all(whole.encode()[s["from"] : s["to"]].decode() == whole[s["start"] : s["end"]] for s in doc["candidates"])
+        loose = []
+        for kind in pii.LOOSE:
+            for m in re.finditer(pii.LOOSE[kind], whole):
+                if not any(s["start"] < m.end() and m.start() < s["end"] for s in strict):
+                    loose.append((kind, m.start(), m.end()))
+        assert [(pii.KINDS[s["kind"]], s["start"], s["end"]) for s in doc["candidates"] if not s["base"]] == loose
+    clean = {r["doc_id"]: r["text"] for r in pii.replace_spans(pii.candidates(frame), None).collect()}
+    for doc_id, doc in found.items():
+        spans, out, at = [], [], 0
+        for s in sorted((s["start"], s["end"], s["kind"]) for s in doc["candidates"] if s["base"]):
+            if spans and s[0] < spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(spans[-1][1], s[1]), spans[-1][2])
+            else:
+                spans.append(s)
+        for start, end, kind in spans:
+            out += [doc["text"][at:start], f"[{pii.KINDS[kind].upper()}]"]
+            at = end
+        assert clean[doc_id] == "".join(out) + doc["text"][at:]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.llm.common import materialize, query, table
+from tidewell.llm.shingles import offsets as value_offsets
 
 SEGMENT = 128
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -243,8 +244,7 @@ def predict(docs: DataFrame, net: Network | None, side_by_side: int = 2048) -> D
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            offsets = offsets.astype(np.int64)
+            offsets = value_offsets(column)
             data = column.buffers()[2]
             raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
             total = np.zeros((len(column), len(net.languages)))

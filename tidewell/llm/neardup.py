@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,20 +32,26 @@ from tidewell.llm.common import materialize, query, table
 from tidewell.llm.components import connected
 from tidewell.llm.shingles import mix, shingle_sets
 
-_SIGNATURE = "doc_id long, row long, n_shingles long, h1 long, h2 long, coords array<long>, marks binary"
+_SIGNATURE = "doc_id long, row long, row2 long, n_shingles long, h1 long, h2 long, coords array<long>, marks binary"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and ``row``, a hash of both that names the row."""
+    """``doc_id``, ``text``, and ``row`` and ``row2``, two hashes of both that together name the row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.withColumn("row", F.xxhash64("doc_id", "text"))
+    return texts.withColumns(_names(F.col("doc_id"), F.col("text")))
+
+
+def _names(doc_id: Column, text: Column) -> dict[str, Column]:
+    # nulls leave a hash as it was, so each is marked
+    marks = [F.lit(1), doc_id.isNull(), text.isNull()]
+    return {"row": F.xxhash64(doc_id, text, *marks), "row2": F.xxhash64(*marks, text, doc_id)}
 
 
 def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
     """Per row: set size, set fingerprint, the minima and a byte of each."""
     factors = mix(np.arange(1, coordinates + 1, dtype=np.uint64)) | np.uint64(1)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
+        [("doc_id", pa.int64()), ("row", pa.int64()), ("row2", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
          ("coords", pa.list_(pa.int64())), ("marks", pa.binary())]
     )
 
@@ -63,7 +69,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                 least = np.array([(found * f).min() for f in factors])
                 coords.append(least.astype(np.int64))
                 marks.append((mix(least) & np.uint64(255)).astype(np.uint8).tobytes())
-            columns = [batch.column("doc_id"), batch.column("row"), sizes, h1, h2, coords, marks]
+            columns = [batch.column("doc_id"), batch.column("row"), batch.column("row2"), sizes, h1, h2, coords, marks]
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema
             )
@@ -192,7 +198,7 @@ def confirmed_edges(
     matches: int, percent: int, block: int,
 ) -> DataFrame:
     """Spanning forests of the exact links within each candidate component."""
-    members = components.join(classes.select(F.col("rep").alias("node"), "marks"), "node")
+    members = components.join(classes.select(F.col("rep").alias("node"), "marks", "row", "row2"), "node")
     sizes = components.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     wanted = members.join(sizes, "root")
 
@@ -202,8 +208,9 @@ def confirmed_edges(
             columns = [*(batch.column(c) for c in ("root", "members", "node", "marks")), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["root", "members", "node", "marks", "shingles"])
 
-    rows = _texts(docs).select(F.col("row").alias("node"), "text")
-    met = rows.join(wanted, "node").dropDuplicates(["node"]).select("root", "members", "node", "marks", "text")
+    rows = _texts(docs).select("row", "row2", "text")
+    # rows of one name are equal, and any will do
+    met = rows.join(wanted, ["row", "row2"]).dropDuplicates(["node"]).select("root", "members", "node", "marks", "text")
     sets = met.mapInArrow(collect, "root long, members long, node long, marks binary, shingles binary")
     dealt = _by_blocks(sets, "members", block, "node").repartition("root", "pair").sortWithinPartitions(
         "root", "pair", "node"
@@ -238,7 +245,7 @@ def confirmed_edges(
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 85, coordinates: int = 32, matches: int = 18, block: int = 512
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``row``, its 64-bit name.
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, and ``row`` and ``row2``, its name.
 
     Two texts are linked if 100 * shared >= ``percent`` * united shingles; ``component_id`` is
     the smallest ``doc_id`` that links reach.  A null, empty or wordless text has no
@@ -255,8 +262,12 @@ def near_duplicates(
         signed.where("n_shingles > 0")
         .groupBy(*equal)
         .agg(
-            F.min("row").alias("rep"), F.min("doc_id").alias("least"),
+            F.min(F.struct("row", "row2")).alias("name"), F.min("doc_id").alias("least"),
             F.first("coords").alias("coords"), F.first("marks").alias("marks"),
+        )
+        # numbers rather than hashes name the classes: no two can meet by chance
+        .select(
+            *equal, F.monotonically_increasing_id().alias("rep"), "name.row", "name.row2", "least", "coords", "marks"
         ),
         "minhash-classes",
     )
@@ -272,7 +283,8 @@ def near_duplicates(
         signed.join(named, equal, "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
         .select(
-            "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row"
+            "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "row", "row2",
         )
     )
 
@@ -284,14 +296,14 @@ def without_copies(docs: DataFrame, **options) -> DataFrame:
     shingles are no copies of each other.
     """
     found = near_duplicates(docs, **options).where("kept")
-    grouped = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
-    keep = grouped.unionByName(found.where("n_shingles = 0").select("row").distinct())
+    first = F.min(F.struct("row", "row2")).alias("name")
+    grouped = found.where("n_shingles > 0").groupBy("component_id").agg(first).select("name.*")
+    keep = grouped.unionByName(found.where("n_shingles = 0").select("row", "row2").distinct())
     names = docs.columns
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole"),
-        F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row"),
-    )
-    left = rows.join(keep, "row", "left_semi").dropDuplicates(["row"])
+    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole")
+    named = _names(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(whole, *[c.alias(n) for n, c in named.items()])
+    left = rows.join(keep, ["row", "row2"], "left_semi").dropDuplicates(["row", "row2"])
     return left.select(*[F.col(f"whole.`{c}`").alias(c) for c in names])
 
 
@@ -322,4 +334,4 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_i
 
 @query("op9_minhash", OP9_SQL)
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "row2")

@@ -8,11 +8,14 @@ vote patterns; the estimated truths train a logistic span classifier, which deci
 looser candidates.  Strict matches always stay.
 
 Texts are never moved: candidates are cut inside the row, and only counts of vote
-patterns (a bounded number) leave it.
+patterns (a bounded number) leave it.  Work and memory are linear in a text, up to sorting its
+spans: running sums and maxima go by blocks, and what a lambda uses again and again is
+bound to a variable first, as a lambda evaluates anything else it names for every element.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -61,26 +64,42 @@ CUES = {
 }
 DOUBTS = r"version|release|isbn|issn|order|invoice|sku|\bref\b|\bid\b|section|§"
 
-_SPAN = "struct<kind:int,start:int,end:int,base:boolean,votes:array<int>,digits:int,marks:int>"
+_SPAN = "struct<kind:int,start:int,end:int,from:int,to:int,base:boolean,votes:array<int>,digits:int,marks:int>"
 
 
-def _totals(parts: Column, start: Column) -> Column:
-    """``start`` and ``start`` plus the sums of the first 1, 2, ... entries."""
-    return F.aggregate(parts, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.transform(F.array(value), use)[0]
 
 
-def sums_before(parts: Column, block: int = 256) -> Column:
-    """For each entry of an int array the sum of those before it, block by block to stay near linear."""
-    size = F.size(parts)
-    blocks = F.transform(
-        F.filter(F.sequence(F.lit(0), F.floor(size / block).cast("int")), lambda b: b * block < size),
-        lambda b: F.slice(parts, b * block + 1, F.lit(block)),
-    )
-    whole = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x))
-    firsts = _totals(whole, F.lit(0))
-    return F.flatten(
-        F.transform(blocks, lambda b, i: F.slice(_totals(b, F.element_at(firsts, i + 1)), 1, F.size(b)))
-    )
+def scan_before(parts: Column, first: Column, step: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """For each entry the ``step`` (associative, with ``first`` as its neutral value) over all entries before it."""
+
+    def combine(n: Column, x: Column) -> Column:
+        return step(n, x)
+
+    def running(some: Column, start: Column) -> Column:
+        return F.aggregate(some, F.array(start), lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x))))
+
+    def by_blocks(p: Column) -> Column:
+        numbers = F.filter(F.sequence(F.lit(0), F.floor(F.size(p) / block).cast("int")), lambda b: b * block < F.size(p))
+        return _bind(F.transform(numbers, lambda b: F.slice(p, b * block + 1, F.lit(block))), over)
+
+    def over(blocks: Column) -> Column:
+        whole = F.transform(blocks, lambda b: F.aggregate(b, first, combine))
+        return _bind(
+            running(whole, first),
+            lambda starts: F.flatten(
+                F.transform(blocks, lambda b, i: F.slice(running(b, F.element_at(starts, i + 1)), 1, F.size(b)))
+            ),
+        )
+
+    return _bind(parts, by_blocks)
+
+
+def sums_before(parts: Column) -> Column:
+    """For each entry of an int array the sum of those before it."""
+    return scan_before(parts, F.lit(0), lambda n, x: n + x)
 
 
 def _digits(text: Column) -> Column:
@@ -129,19 +148,6 @@ def _listed(kind: str, found: Column) -> tuple[Column, Column | None]:
 def _kind_spans(text: Column, kind: str, loose: bool) -> Column:
     """Array of candidates of one kind, with their votes, in order."""
     pattern, number = (LOOSE if loose else STRICT)[kind], KINDS.index(kind)
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern, -1)
-    before = F.transform(F.slice(gaps, 1, F.size(found)), lambda g: F.length(g))
-    lengths = F.transform(found, lambda m: F.length(m))
-    rows = F.arrays_zip(
-        found.alias("m"),
-        F.zip_with(sums_before(F.zip_with(before, lengths, lambda a, b: a + b)), before, lambda a, b: a + b).alias("at"),
-        gaps.alias("gap"),
-        F.slice(gaps, 2, F.size(found)).alias("after"),
-    )
-    # the list of gaps is one longer than that of matches
-    rows = F.slice(rows, 1, F.size(found))
-
     def span(r: Column) -> Column:
         m, at, context = r["m"], r["at"], F.lower(F.right(r["gap"], F.lit(32)))
         valid = _valid(kind, m) if not loose else F.lit(False)
@@ -152,13 +158,32 @@ def _kind_spans(text: Column, kind: str, loose: bool) -> Column:
             _vote(~context.rlike(r"[\p{L}\p{N}_]$") & ~F.left(r["after"], F.lit(1)).rlike(r"[\p{L}\p{N}_]")),
         )
         return F.struct(
-            F.lit(number).alias("kind"), at.alias("start"), (at + F.length(m)).alias("end"), valid.alias("base"),
+            F.lit(number).alias("kind"), at.alias("start"), (at + F.length(m)).alias("end"), r["byte"].alias("from"),
+            (r["byte"] + F.octet_length(m)).alias("to"), valid.alias("base"),
             votes.alias("votes"), F.least(F.length(_digits(m)), F.lit(20)).alias("digits"),
             F.least(F.length(F.regexp_replace(m, r"[\p{L}\p{N}]", "")), F.lit(8)).alias("marks"),
         )
 
-    spans = F.transform(rows, span)
-    spans = spans if loose else F.filter(spans, lambda s: s["base"])
+    def of_lists(both: Column) -> Column:
+        found, gaps = both["found"], both["gaps"]
+        # the list of gaps is one longer than that of matches
+        before = F.slice(gaps, 1, F.size(found))
+
+        def starts(measure: Callable[[Column], Column]) -> Column:
+            sizes = F.zip_with(before, found, lambda g, m: measure(g) + measure(m))
+            return F.zip_with(sums_before(sizes), before, lambda n, g: n + measure(g))
+
+        rows = F.arrays_zip(
+            found.alias("m"), starts(F.length).alias("at"), starts(F.octet_length).alias("byte"), before.alias("gap"),
+            F.slice(gaps, 2, F.size(found)).alias("after"),
+        )
+        spans = F.transform(rows, span)
+        return spans if loose else F.filter(spans, lambda s: s["base"])
+
+    lists = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), 0).alias("found"), F.split(text, pattern, -1).alias("gaps")
+    )
+    spans = _bind(lists, of_lists)
     hint = HINT[f"loose {kind}" if loose else kind]
     return F.when(text.rlike(hint), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
@@ -174,8 +199,43 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [F.col(f"`{c}`") for c in docs.columns if c != "candidates"]
     cut = docs.select(*names, F.struct(strict.alias("strict"), loose.alias("loose")).alias("candidates"))
     s, o = F.col("candidates.strict"), F.col("candidates.loose")
-    clear = F.filter(o, lambda x: ~F.exists(s, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    return cut.select(*names, F.concat(s, F.when(F.size(o) > 0, clear).otherwise(o)).alias("candidates"))
+    return cut.select(*names, F.when(F.size(o) > 0, F.concat(s, clear_of(o, s))).otherwise(s).alias("candidates"))
+
+
+_LATE = 2**31 - 1
+
+
+def clear_of(loose: Column, strict: Column) -> Column:
+    """The loose spans that no strict span overlaps, in their order.
+
+    Both are sorted together; the largest strict end before a loose span and the least strict start
+    after it decide.
+    """
+    none = F.lit(None).cast(_SPAN)
+    both = F.array_sort(
+        F.concat(
+            F.transform(strict, lambda x: F.struct(
+                x["start"].alias("start"), F.lit(-1).alias("place"), x["end"].alias("end"), none.alias("span"))),
+            F.transform(loose, lambda x, i: F.struct(
+                x["start"].alias("start"), i.alias("place"), x["end"].alias("end"), x.alias("span"))),
+        ),
+        lambda x, y: F.when(x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["place"] - y["place"]),
+    )
+
+    def among(all_: Column) -> Column:
+        strict_ends = F.transform(all_, lambda x: F.when(x["place"] < 0, x["end"]).otherwise(0))
+        strict_starts = F.transform(F.reverse(all_), lambda x: F.when(x["place"] < 0, x["start"]).otherwise(_LATE))
+        rows = F.arrays_zip(
+            all_.alias("x"), scan_before(strict_ends, F.lit(0), F.greatest).alias("reached"),
+            F.reverse(scan_before(strict_starts, F.lit(_LATE), F.least)).alias("next"),
+        )
+        kept = F.filter(
+            rows, lambda r: (r["x"]["place"] >= 0) & (r["reached"] <= r["x"]["start"]) & (r["next"] >= r["x"]["end"])
+        )
+        ordered = F.array_sort(kept, lambda a, b: a["x"]["place"] - b["x"]["place"])
+        return F.transform(ordered, lambda r: r["x"]["span"])
+
+    return _bind(both, among)
 
 
 @dataclass
@@ -286,33 +346,48 @@ def redact(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Overlapping spans become one, named after the first.  Texts without spans, and nulls, stay.
     """
-    names = [c for c in docs.columns if c != "candidates"]
+    return replace_spans(candidates(docs), model)
+
+
+def replace_spans(found: DataFrame, model: Model | None) -> DataFrame:
+    """What ``redact`` gives for documents with their ``candidates``; that column goes."""
+    names = [c for c in found.columns if c != "candidates"]
     ordered = F.array_sort(
-        F.transform(spans(model), lambda s: F.struct(s["start"], s["end"], s["kind"]))
+        F.transform(spans(model), lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to"), s["kind"].alias("kind")))
     )
-    kept = candidates(docs).withColumn("candidates", ordered)
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
+    tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def join(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        overlaps = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"])
-        return F.when(overlaps, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(s)))
+    def clean(raw: Column) -> Column:
+        return _bind(ordered, lambda some: _bind(_united(some), lambda u: put_together(raw, u)))
 
-    merged = kept.withColumn("candidates", F.aggregate("candidates", empty, join))
-    at = F.col("candidates")
-    tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    starts = F.concat(F.array(F.lit(0)), F.transform(at, lambda s: s["end"]))
-    pieces = F.transform(
-        at,
-        lambda s, i: F.concat(
-            F.substr("text", F.element_at(starts, i + 1) + 1, s["start"] - F.element_at(starts, i + 1)),
-            F.element_at(tags, s["kind"] + 1),
-        ),
+    def put_together(raw: Column, united: Column) -> Column:
+        # what stands before each span begins where the one before it ended
+        ends = F.concat(F.array(F.lit(0)), F.transform(united, lambda s: s["to"]))
+        pieces = F.zip_with(
+            F.slice(ends, 1, F.size(united)), united,
+            lambda at, s: F.concat(F.substring(raw, at + 1, s["from"] - at).cast("string"), F.element_at(tags, s["kind"] + 1)),
+        )
+        tail = F.substring(raw, F.element_at(ends, -1) + 1, F.length(raw)).cast("string")
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    # bytes are cut by place, characters would be counted from the beginning for every span
+    text = F.when(F.size("candidates") > 0, _bind(F.col("text").cast("string").cast("binary"), clean)).otherwise(F.col("text"))
+    return found.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in names])
+
+
+def _united(some: Column) -> Column:
+    """Sorted spans with overlapping ones made one of the first's kind."""
+    rows = F.arrays_zip(
+        some.alias("s"), scan_before(F.transform(some, lambda s: s["to"]), F.lit(0), F.greatest).alias("reached")
     )
-    clean = F.concat(F.array_join(pieces, ""), F.substr("text", F.element_at(starts, -1) + 1))
-    return merged.select(
-        *[(F.when(F.size(at) > 0, clean).otherwise(F.col("text")) if c == "text" else F.col(f"`{c}`")).alias(c) for c in names]
+    firsts = F.filter(rows, lambda r: r["s"]["from"] >= r["reached"])
+    # a span's end is the largest before the next one that begins anew
+    return _bind(
+        firsts,
+        lambda f: F.zip_with(
+            f, F.concat(F.slice(F.transform(f, lambda r: r["reached"]), 2, F.size(f)), F.array(F.array_max(F.transform(some, lambda s: s["to"])))),
+            lambda r, to: F.struct(r["s"]["from"].alias("from"), to.alias("to"), r["s"]["kind"].alias("kind")),
+        ),
     )
 
 

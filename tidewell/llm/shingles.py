@@ -40,9 +40,16 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS[0]
 
 
+def offsets(column: pa.Array) -> np.ndarray:
+    """Where each value of a string or binary array begins (one more at the end), for either width of offsets."""
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    own = np.frombuffer(column.buffers()[1], dtype=np.int64 if wide else np.int32)
+    return own[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
 def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes of text; a longer text is a range of its own."""
-    sizes = np.diff(np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1])
+    sizes = np.diff(offsets(column))
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if held and held + size > limit:
@@ -56,15 +63,15 @@ def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a string array, and each text's first word (one more at the end)."""
     n = len(column)
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
+    at = offsets(column)
     data = column.buffers()[2]
-    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    offsets -= offsets[0]
+    raw = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    bounds = at - at[0]
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
     inside = ~_BREAKS[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)
-    edge[offsets] = True
+    edge[bounds] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | edge[1:-1]
     ends = inside.copy()
@@ -79,7 +86,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(letters)) - np.repeat(at, lengths)
     letters *= _powers(int(lengths.max()))[place]
     words = mix(np.add.reduceat(letters, at) + lengths.astype(np.uint64))
-    return words, np.searchsorted(first, offsets)
+    return words, np.searchsorted(first, bounds)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

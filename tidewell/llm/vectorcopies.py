@@ -11,6 +11,7 @@ into blocks that meet pairwise.  Equal vectors are one class throughout.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,7 +77,11 @@ def _classes(vectors: DataFrame, sample_rows: int) -> DataFrame:
         "vector-classes",
     )
     drawn: dict[int, list] = {}
-    for r in grouped.select("dim", "vector").orderBy(F.xxhash64("node", F.lit(1))).limit(sample_rows).collect():
+    # a share of the hashes first, so that each task hands over its share of the sample only
+    draw = F.xxhash64("node", F.lit(1))
+    share = math.ceil((1 << 30) * min(1.0, 1.2 * (sample_rows + 1000) / max(1, grouped.count())))
+    sample = grouped.where(F.pmod(draw, F.lit(1 << 30)) < share).orderBy(draw).limit(sample_rows)
+    for r in sample.select("dim", "vector").collect():
         drawn.setdefault(r["dim"], []).append(r["vector"])
     bits = CHUNK * TABLES
     rotations = {d: learn_rotation(_unit(np.array(v, dtype=np.float64)), bits) for d, v in drawn.items()}
