@@ -286,7 +286,10 @@ def read(manifest: DataFrame, portion: int = 2_000, token_limit: int = 4_000_000
     portions = manifest.select("path", "start", "documents", begins).withColumn(
         "end", F.least(F.col("begin") + portion, F.col("documents"))
     )
-    dealt = portions.repartition(F.xxhash64("path", "begin"))
+    # a row is a few numbers but stands for many ids: by their size Spark would deal all rows to one task
+    ids = manifest.agg(F.sum("ids")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, -(-ids // (4 * token_limit)))
+    dealt = portions.repartition(int(tasks), "path", "begin")
     return dealt.mapInArrow(fetch, "doc_id long, start long, n_tokens long, ids binary")
 
 
