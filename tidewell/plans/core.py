@@ -325,6 +325,21 @@ def s10(spark, d):
     return w.groupBy("lang").agg(F.sum(lines).cast("long").alias("n_lines"), F.sum(F.length("text")).cast("long").alias("n_chars"))
 
 
+@query(
+    "s10_text_lines",
+    r"""SELECT line, count(*) AS n FROM (
+          SELECT regexp_replace(unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))), '^\s+|\s+$', '', 'g') AS line
+          FROM documents) GROUP BY line""",
+)
+def s10_lines(spark, d):
+    """Texts between marker lines as files, read back line by line without the markers."""
+    path = scratch_path(spark, "lines")
+    markers = [F.lit(f"{m} THE BOOK ***") for m in files.MARKER_LINES]
+    whole = F.concat(markers[0], F.lit("\n"), F.col("text"), F.lit("\n"), markers[1])
+    table(spark, d, "documents").where("text IS NOT NULL").select(whole.alias("value")).write.text(path)
+    return files.book_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("s12_bounded_files", "SELECT count(*) AS n_rows, 1 AS within_bound FROM lineitem")
 def s12(spark, d):
     path = scratch_path(spark, "bounded")
@@ -389,9 +404,18 @@ def v1(spark, d):
     from tidewell.streaming import jobs
 
     out, mark = scratch_path(spark, "windows"), scratch_path(spark, "mark")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = jobs.text_stream(spark, _arriving(spark, d), files_per_batch=2)
-    jobs.drain_to_table(jobs.token_windows(stream, _word_vocab(spark, d), 64, shards=16), out, mark)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = jobs.text_stream(spark, _arriving(spark, d), files_per_batch=2)
+        jobs.drain_to_table(jobs.token_windows(stream, _word_vocab(spark, d), 64, shards=16), out, mark)
+    finally:
+        # a stream takes the provider from its session; others keep theirs
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
     w = spark.read.parquet(out)
     return w.groupBy("shard").agg(F.count(F.lit(1)).alias("n_windows"), F.min(F.size("inputs")).alias("shortest"), F.max(F.size("targets")).alias("longest"))
 

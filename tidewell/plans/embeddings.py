@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import numeric as nm
 from tidewell.functions.hashing import mix_sql, uniform_sql
-from tidewell.functions.text import words
+from tidewell.functions.text import sentences, words
 from tidewell.operators import cooccur as co
 from tidewell.operators import terms
 from tidewell.operators import vectors as ve
@@ -14,6 +14,7 @@ from tidewell.operators import wordvec as wv
 from tidewell.plans.base import query, table
 from tidewell.plans.standins import WORDS_SQL, plain_texts
 
+_SENT_SQL = r"""list_filter(string_split(regexp_replace(text, '([.!?])[\t\n\x0B\f\r ]+', '\1' || chr(1), 'g'), chr(1)), lambda s: trim(s) <> '')"""
 _POS = f"pos AS (SELECT doc_id, unnest(t) AS token, unnest(range(0, len(t))) AS p FROM (SELECT doc_id, {WORDS_SQL} AS t FROM documents) WHERE len(t) > 0)"
 _KEPT = f"{_POS}, kept AS (SELECT token FROM pos GROUP BY token HAVING count(*) > 5)"
 
@@ -73,6 +74,23 @@ def e4(spark, d):
     return _sg(spark, d).groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "e4_sentence_pairs",
+    f"""WITH {_IDS}, se AS (SELECT doc_id, unnest(s) AS t, unnest(range(0, len(s))) AS s FROM (SELECT doc_id, {_SENT_SQL} AS s FROM documents) WHERE len(s) > 0),
+        sw AS (SELECT doc_id, s, unnest(w) AS token, unnest(range(0, len(w))) AS p, len(w) AS n FROM (SELECT doc_id, s, {WORDS_SQL.replace("text", "t")} AS w FROM se) WHERE len(w) > 0),
+        si AS (SELECT doc_id, s, p, n, coalesce(idx, (SELECT count(*) FROM v)) AS id FROM sw LEFT JOIN v ON v.token = sw.token)
+        SELECT c.id AS center, o.id AS context, count(*) AS n FROM si c JOIN (SELECT *, p - k AS q FROM si CROSS JOIN (SELECT unnest([-2, -1, 1, 2]) AS k)) o
+        ON c.doc_id = o.doc_id AND c.s = o.s AND c.p = o.q WHERE c.p >= 2 AND c.p < c.n - 2 GROUP BY ALL""",
+)
+def e4_sentences(spark, d):
+    """Skip-gram pairs of ids within sentences, rare words as the unknown id."""
+    _, vocab = _ids(spark, d)
+    s = plain_texts(spark, d).select("doc_id", F.posexplode(sentences(F.col("text"))).alias("s", "t"))
+    tokens = s.select("doc_id", "s", words(F.col("t")).alias("tokens"))
+    ids = wv.sentence_ids(tokens, vocab, ["doc_id", "s"])
+    return co.skipgram_pairs(ids, "ids", 2).groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
+
+
 _NOISE = f"""{_IDS}, cnt AS (SELECT id, count(*) AS n FROM ids WHERE id < (SELECT count(*) FROM v) GROUP BY id),
 noise AS (SELECT id, pow(n::DOUBLE, 0.75::DOUBLE) / (SELECT sum(pow(n::DOUBLE, 0.75::DOUBLE)) FROM cnt) AS p FROM cnt)"""
 

@@ -87,6 +87,18 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+# How the marker lines of a book begin.
+MARKER_LINES = ["*** START OF", "*** END OF"]
+
+
+def book_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line``: one row per line of the files, trimmed, without marker lines."""
+    lines = text_lines(spark, path)
+    for marker in MARKER_LINES:
+        lines = lines.where(~F.startswith("value", F.lit(marker)))
+    return lines.select(F.regexp_replace("value", r"^[\s]+|[\s]+$", "").alias("line"))
+
+
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per file."""
     df = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
