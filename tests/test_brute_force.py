@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +38,20 @@ def test_running_and_position(spark):
             assert got[i][0] == pytest.approx(seen[k][0], abs=1e-9) and got[i][1:] == seen[k][1:]
 
 
+def test_ranked_with_scattered_ids_and_a_hot_value(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, "a", "b"]), rng.getrandbits(63) - 2**62 if i % 2 else 5, i) for i in range(600)] + [(None, None, 600)] * 3
+    frame = spark.createDataFrame(rows, "k string, v long, i int").repartition(7)
+    got = ordered.ranked(frame, ["v", "i"], ["k"], "pos", "n").collect()
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    want = []
+    for k in (None, "a", "b"):
+        own = sorted((r for r in rows if r[0] == k), key=key)
+        want += [(*r, p, len(own)) for p, r in enumerate(own)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert ordered.ranked(frame.where("false"), ["v"]).count() == 0
+
+
 def test_running_exclusive_starts_empty(spark):
     d = spark.createDataFrame([(i, 1.0) for i in range(20)], "i long, x double")
     r = ordered.running(d, ["i"], {"s": ("sum", F.col("x")), "m": ("max", F.col("i"))}, inclusive=False).orderBy("i").collect()

@@ -105,11 +105,11 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
 
 
-def row_range(df: DataFrame, order: Sequence[str], start: int, stop: int, width: int = 1 << 16) -> DataFrame:
-    """Rows ``[start, stop)`` in the order of a dense unique key."""
-    from tidewell.operators.ordered import position
+def row_range(df: DataFrame, order: Sequence[str], start: int, stop: int) -> DataFrame:
+    """Rows ``[start, stop)`` in the order of columns of any type, nulls first."""
+    from tidewell.operators.ordered import ranked
 
-    p = position(df, order, name="_pos", width=width)
+    p = ranked(df, order, name="_pos")
     return p.where((F.col("_pos") >= start) & (F.col("_pos") < stop)).drop("_pos")
 
 
