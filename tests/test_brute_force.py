@@ -297,37 +297,6 @@ def test_neighbours_three_ways(spark):
     assert all(u[b, a] == pytest.approx(x) for (a, b), x in u.items())
 
 
-def test_sgns_step_both_paths(spark):
-    rng = np.random.default_rng(9)
-    rows = [(int(a), int(b)) for a, b in rng.integers(0, 12, (300, 2))]
-    pairs = spark.createDataFrame(rows, "center long, context long")
-    n = Counter(a for a, _ in rows)
-    counts = spark.createDataFrame([(i, n.get(i, 0) + 1) for i in range(12)], "id long, n long")
-    kw = dict(dim=4, epochs=2, rate=0.05, negatives=3)
-    one = {r["id"]: r["vec"] for r in wordvec.train_sgns(pairs, counts, **kw).collect()}
-    two = {r["id"]: r["vec"] for r in wordvec.train_sgns(pairs, counts, max_broadcast=0, **kw).collect()}
-    assert all(np.allclose(one[i], two[i]) for i in one)
-
-    # the same two steps in NumPy
-    init = {r["id"]: r["vec"] for r in wordvec.initial_vectors(counts.select("id"), 4, 0.5).collect()}
-    x = np.array([init[i] for i in range(12)])
-    weighted = pairs.groupBy("center", "context").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    noise = wordvec.sample_noise(weighted, wordvec.noise_distribution(counts), 3).collect()
-    assert len(noise) == 3 * weighted.count()
-    ex = [(r["center"], r["context"], 1.0, r["n"]) for r in weighted.collect()]
-    ex += [(r["center"], r["noise"], 0.0, r["n"]) for r in noise]
-    m = v = np.zeros_like(x)
-    for t in (1, 2):
-        g = np.zeros_like(x)
-        for c, o, y, k in ex:
-            s = (1 / (1 + np.exp(-x[c] @ x[o])) - y) * k / 300
-            g[c] += s * x[o]
-            g[o] += s * x[c]
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        x = x - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    assert np.allclose([one[i] for i in range(12)], x, atol=1e-9)
-
-
 def test_noise_follows_counts(spark):
     counts = spark.createDataFrame([(0, 1000), (1, 10), (2, 1)], "id long, n long")
     noise = wordvec.noise_distribution(counts)

@@ -154,7 +154,7 @@ def e7(spark, d):
 
 @query("e8_train_sgns")
 def e8(spark, d):
-    """Vectors of the frequent English words; neighbours of the twenty most frequent."""
+    """Norms of the vectors of all frequent words."""
     from tidewell.session import cut_lineage
 
     ids, vocab = _ids(spark, d)
@@ -163,7 +163,7 @@ def e8(spark, d):
     counts = cut_lineage(ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")))
     seqs = ids.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("p", "id"))).alias("s"))
     pairs = co.skipgram_pairs(seqs.select(F.transform("s", lambda x: x["id"]).alias("t")), "t", 2)
-    vecs = wv.train_sgns(pairs, counts, dim=16, epochs=3, negatives=5)
+    vecs = wv.train_sgns(pairs, counts, dim=16, epochs=3, rate=0.01, negatives=5).vectors
     return vecs.select("id", F.size("vec").alias("dim"), F.round(nm.l2_norm(F.col("vec")), 4).alias("norm"))
 
 

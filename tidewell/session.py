@@ -65,6 +65,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def rewrite(df: DataFrame, name: str, before: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` below the shared folder and read it again, then drop the table at ``before``.
+
+    For loops whose state is written anew in every step: ``df`` may read ``before``, and
+    only one state remains.  Returns the frame and its path.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if before is not None:
+        old = spark._jvm.org.apache.hadoop.fs.Path(before)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input of a few splits, such as one small file.
 
