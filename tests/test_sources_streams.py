@@ -1,11 +1,14 @@
 """Readers, writers, stores and streaming jobs on small files."""
 
 import json
+import os
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.sources import files, stores
-from tidewell.sources.arrow_ipc import read_arrow_folder, write_arrow_folder
+from tidewell.sources.arrow_ipc import PUSHDOWN, read_arrow_folder, write_arrow_folder
 from tidewell.streaming import jobs
 
 
@@ -38,6 +41,60 @@ def test_arrow_folder_round_trip(spark, tmp_path):
     assert back.select("s").count() == 100
 
 
+def test_arrow_file_is_read_in_slices_of_batches(spark, tmp_path):
+    rows = pa.table({"id": list(range(5000)), "s": [f"t{i}" for i in range(5000)], "x": [float("nan") if i % 2 else 1.0 * i for i in range(5000)]})
+    with pa.OSFile(str(tmp_path / "one.arrow"), "wb") as f, pa.ipc.new_file(f, rows.schema) as w:
+        w.write_table(rows, max_chunksize=100)
+    with pa.OSFile(str(tmp_path / "two.arrows"), "wb") as f, pa.ipc.new_stream(f, rows.schema) as w:
+        w.write_table(rows, max_chunksize=100)
+    size = (tmp_path / "one.arrow").stat().st_size
+    d = read_arrow_folder(spark, str(tmp_path), split_bytes=size // 10)
+    assert 10 <= d.rdd.getNumPartitions() - 1 <= 13
+    assert d.agg(F.count("*"), F.sum("id")).first()[:] == (10_000, 2 * sum(range(5000)))
+    narrow = read_arrow_folder(spark, str(tmp_path), "s string, id long")
+    assert narrow.columns == ["s", "id"] and narrow.where("s = 't7'").collect()[0]["id"] == 7
+
+
+def test_arrow_filters_are_spark_filters(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a", 1.0), (2, None, float("nan")), (None, "c", None), (4, "é", -1.0), (5, "", 5.0)], "i int, s string, x double"
+    ).coalesce(1).write.parquet(str(tmp_path / "p"))
+    plain = spark.read.parquet(str(tmp_path / "p"))
+    write_arrow_folder(plain, str(tmp_path / "a"))
+    spark.conf.set(PUSHDOWN, "true")
+    try:
+        arrow = read_arrow_folder(spark, str(tmp_path / "a"))
+        rules = ["i > 1", "i >= 2 AND i < 5", "i <= 4", "i = 4", "i <=> NULL", "i IN (1, 5, NULL)", "NOT (i = 4)", "i IS NULL", "s IS NOT NULL",
+                 "s > 'b'", "s = ''", "s LIKE 'c%'", "x > 0", "x = double('NaN')", "i > 1 OR s = 'a'", "i = 1 AND s = 'a'"]
+        for rule in rules:
+            assert sorted(map(repr, arrow.where(rule).collect())) == sorted(map(repr, plain.where(rule).collect())), rule
+    finally:
+        spark.conf.unset(PUSHDOWN)
+    assert read_arrow_folder(spark, str(tmp_path / "a")).where("i > 1").count() == 3
+
+
+def test_arrow_empty_table_overwrite_and_failed_job(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id long, v array<double>, at timestamp, m struct<a:string>"
+    write_arrow_folder(spark.createDataFrame([], schema), path)
+    back = read_arrow_folder(spark, path)
+    assert back.columns == ["id", "v", "at", "m"] and back.count() == 0 and back.collect() == []
+    ids = lambda: sorted(r["id"] for r in read_arrow_folder(spark, path, "id long").collect())
+    full = spark.range(20).selectExpr("id", "array(id * 1.0D) AS v", "timestamp'2020-01-01' AS at", "named_struct('a', 'b') AS m").repartition(3)
+    write_arrow_folder(full, path)
+    assert ids() == list(range(20))
+    with pytest.raises(Exception, match="planted"):
+        broken = full.where("id >= 0").selectExpr("if(id = 19, raise_error('planted'), id) AS id", "v", "at", "m")
+        write_arrow_folder(broken.withColumn("id", F.col("id").cast("long")), path, "overwrite")
+    assert ids() == list(range(20)) and not [f for f in os.listdir(path) if not f.endswith(".arrow")]
+    write_arrow_folder(full.where("id < 5"), path, "overwrite")
+    assert ids() == list(range(5))
+    write_arrow_folder(full.where("id < 0"), path)
+    assert ids() == list(range(5))
+    write_arrow_folder(full.where("id < 0"), path, "overwrite")
+    assert ids() == [] and not [f for f in os.listdir(path) if not f.endswith(".arrow")]
+
+
 def test_store_replaces_only_its_keys(spark, tmp_path):
     store = stores.KeyedStore(str(tmp_path / "m"), "city")
     store.save(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "city string, y double"))
