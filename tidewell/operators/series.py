@@ -166,6 +166,13 @@ def fit_models(train: DataFrame, keys: Sequence[str], date: str, value: str, spe
     )
 
 
+def draw_values(rng: np.random.Generator, n: int, mean: np.ndarray, factor: np.ndarray, terms: np.ndarray, error: float) -> np.ndarray:
+    """``n`` predictive draws (rows) for every row of ``terms``: weights first, then noise."""
+    weights = mean + rng.standard_normal((n, len(mean))) @ factor.T
+    mu = weights @ terms.T
+    return mu + error * rng.standard_normal(mu.shape)
+
+
 def forecast_draws(
     models: DataFrame,
     keys: Sequence[str],
@@ -205,9 +212,8 @@ def forecast_draws(
             for row in batch.itertuples(index=False):
                 m = min(chunk, n_draws - row.chunk * chunk)
                 rng = np.random.default_rng([seed, row.key_hash, row.chunk])
-                w = np.asarray(row.mean) + rng.standard_normal((m, p)) @ np.asarray(row.factor).reshape(p, p).T
-                mu = w @ np.asarray(row.terms).reshape(n_ahead, p).T
-                value = mu + error * rng.standard_normal(mu.shape)
+                terms = np.asarray(row.terms).reshape(n_ahead, p)
+                value = draw_values(rng, m, np.asarray(row.mean), np.asarray(row.factor).reshape(p, p), terms, error)
                 out = pd.DataFrame({f.name: [getattr(row, f.name)] * value.size for f in fields})
                 out["draw"] = np.repeat(np.arange(m, dtype=np.int32) + row.chunk * chunk, n_ahead)
                 out["obs_id"] = np.tile(np.arange(n_ahead, dtype=np.int32), m)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tidewell.functions.numeric import fourier_terms
 from tidewell.operators import series as ts
 from tidewell.operators.reshape import MONTHS, sentinel_to_null, unpivot
+from tidewell.operators.service import ForecastPackage
 from tidewell.operators.summaries import hdi
 from tidewell.plans.base import query
 from tidewell.plans.standins import SERIES_SQL, monthly_sums, series, station_table
-from tidewell.session import cut_lineage
+from tidewell.session import cut_lineage, scratch_path
 
 KEYS = ["city"]
 ISO = "yyyy-MM-dd"
@@ -328,6 +329,31 @@ def ts11(spark, d):
     return ts.predict_service(_draws(_kept_split(spark, d)), KEYS)
 
 
+def _package(spark, d) -> ForecastPackage:
+    """The models of all cities, written as a package and loaded again."""
+    path = scratch_path(spark, "package")
+    ForecastPackage(_models(_kept_split(spark, d)), "city", n_draws=N_DRAWS).save(path)
+    return ForecastPackage.load(spark, path)
+
+
+@query("u4_packaged_model")
+def u4(spark, d):
+    """The records of the prediction service, asked of a loaded package through SQL."""
+    return _package(spark, d).predict(12)
+
+
+@query(
+    "u4_record_shape",
+    f"""WITH {SERIES_SQL}, {_SPLIT_SQL}, fitted AS (SELECT city FROM split WHERE split = 'train' GROUP BY city HAVING count(*) > 1 AND stddev_pop(temperature) > 0)
+        SELECT city, obs_id, true AS is_record FROM fitted, (SELECT unnest(range(24))::INTEGER AS obs_id)""",
+)
+def u4_shape(spark, d):
+    """Two years ahead: a record per city and step, holding its step and a finite forecast."""
+    r = _package(spark, d).predict(24).withColumn("r", F.from_json("record", "obs_id int, forecast double"))
+    finite = F.abs(F.col("r.forecast")) < F.lit(float("inf"))
+    return r.select("city", "obs_id", ((F.col("r.obs_id") == F.col("obs_id")) & finite).alias("is_record"))
+
+
 # ---- scores with an exact check: last year's value as the forecast ----
 _NAIVE_SQL = f"""
 WITH {SERIES_SQL}, {_SPLIT_SQL},
