@@ -198,3 +198,26 @@ def test_components_of_a_path_and_lone_nodes(spark):
     edges = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "src long, dst long")
     got = dict(tuple(r) for r in connected_components(nodes, edges).select("node", "component").collect())
     assert got == {i: 0 if i <= 30 else i for i in range(40)}
+
+
+def test_long_sentences_meet_in_blocks(spark):
+    import itertools
+    from collections import Counter
+
+    sets = [[f"w{(i * k) % 307:03d}" for i in range(n)] for n, k in ((400, 1), (90, 3), (17, 5), (16, 7), (33, 11), (1, 1), (0, 1), (64, 0))]
+    d = spark.createDataFrame([(s,) for s in [*sets, None]], "w array<string>")
+    want = Counter(p for s in sets for p in itertools.combinations(sorted(set(s)), 2))
+    for block in (16, 50, 512):
+        got = cooccur.sentence_cooccurrence(d, "w", block=block).collect()
+        assert len(got) == len(want) and {(r["a"], r["b"]): r["n"] for r in got} == want
+    few = cooccur.sentence_cooccurrence(d, "w", min_count=3, block=16).collect()
+    assert {(r["a"], r["b"]): r["n"] for r in few} == {p: n for p, n in want.items() if n >= 3}
+
+
+def test_pairs_of_one_sentence_are_many_tasks(spark):
+    words = spark.range(1).select(F.array_sort(F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda i: i.cast("string"))).alias("_w"))
+    met = cooccur._meetings(words, 512)
+    pairs = F.when(F.col("_same"), F.size("_l") * (F.size("_l") - 1) / 2).otherwise(F.size("_l") * F.size("_r"))
+    per_task = [r["n"] for r in met.groupBy(F.spark_partition_id()).agg(F.sum(pairs).alias("n")).collect()]
+    assert sum(per_task) == 100_000 * 99_999 / 2
+    assert len(per_task) == 8 and max(per_task) < 1.2 * sum(per_task) / 8

@@ -274,6 +274,29 @@ def ts5(spark, d):
     )
 
 
+@query(
+    "ts5_posterior_identity",
+    f"""WITH {SERIES_SQL}, {_SPLIT_SQL}, fitted AS (SELECT city FROM split WHERE split = 'train' GROUP BY city HAVING count(*) > 1 AND stddev_pop(temperature) > 0)
+        SELECT city, term, 0.0::DOUBLE AS difference FROM fitted, (SELECT unnest(range({ts.TrendSpec().size}))::INTEGER AS term)""",
+)
+def ts5_identity(spark, d):
+    """What defines the posterior mean: each weight is its prior variance times the term's sum with the residuals, over the noise."""
+    split, spec = _kept_split(spark, d), ts.TrendSpec()
+    fitted = cut_lineage(_models(split).where(F.col("mean").isNotNull()))
+    train = ts.time_index(split.where("split = 'train'").select("city", "date", "temperature"), KEYS, "date", "t")
+    lo, hi = F.col("t_lo"), F.col("t_hi")
+    rows = train.where(F.col("temperature").isNotNull()).join(fitted, "city")
+    rows = rows.withColumn("x", ts.design_row(F.col("t"), lo, hi, spec))
+    fit = F.aggregate(F.zip_with("x", "mean", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    residual = (F.col("temperature") - F.col("y_mean")) / F.col("y_std") - fit
+    sums = rows.select("city", residual.alias("r"), F.posexplode("x").alias("term", "x"))
+    sums = sums.groupBy("city", "term").agg((F.sum(F.col("x") * F.col("r")) / spec.error**2).alias("pull"))
+    prior = F.concat(ts.basis_variance(lo, hi, spec), F.array_repeat(F.lit(spec.beta_sd**2), 2 * spec.n_fourier))
+    weights = fitted.select("city", F.posexplode(F.arrays_zip("mean", prior.alias("variance"))).alias("term", "w"))
+    both = sums.join(weights, ["city", "term"])
+    return both.select("city", "term", (F.round(F.col("w.mean") - F.col("w.variance") * F.col("pull"), 6) + F.lit(0.0)).alias("difference"))
+
+
 @query("ts6_forecast_draws")
 def ts6(spark, d):
     return _draws(_kept_split(spark, d)).select(

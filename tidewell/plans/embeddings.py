@@ -284,18 +284,44 @@ def e15_union(spark, d):
     return u.select("src", "dst", F.round("weight", 6).alias("weight"))
 
 
-@query("e16_pca")
-def e16(spark, d):
-    """Three principal components; signs are fixed by the largest loading."""
+def _pca(spark, d):
+    """Vectors with their three scores ``p``, and the loadings; signs are fixed by the largest loading."""
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    v = _vecs(spark, d).select("id", array_to_vector(F.transform("vec", lambda x: x.cast("double"))).alias("f"))
+    v = _vecs(spark, d).select("id", F.transform("vec", lambda x: x.cast("double")).alias("x"))
+    v = v.withColumn("f", array_to_vector("x"))
     model = PCA(k=3, inputCol="f", outputCol="pc").fit(v)
     loadings = model.pc.toArray()
-    sign = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] > 0 else -1.0 for j in range(3)]
-    pc = model.transform(v).select("id", vector_to_array("pc").alias("p"))
-    return pc.select("id", *[F.round(F.col("p")[j] * sign[j], 6).alias(f"pc_{j + 1}") for j in range(3)])
+    loadings = loadings * [1.0 if loadings[abs(loadings[:, j]).argmax(), j] > 0 else -1.0 for j in range(3)]
+    sign = [1.0 if abs(model.pc.toArray()[:, j] - loadings[:, j]).max() == 0 else -1.0 for j in range(3)]
+    pc = model.transform(v).select("id", "x", vector_to_array("pc").alias("p"))
+    return pc.select("id", "x", F.array(*[F.col("p")[j] * sign[j] for j in range(3)]).alias("p")), loadings
+
+
+@query("e16_pca")
+def e16(spark, d):
+    """Three principal components; signs are fixed by the largest loading."""
+    pc, _ = _pca(spark, d)
+    return pc.select("id", *[F.round(F.col("p")[j], 6).alias(f"pc_{j + 1}") for j in range(3)])
+
+
+@query(
+    "e16_eigen_identity",
+    "SELECT d.i::INTEGER AS dimension, k.j::INTEGER AS component, 0.0::DOUBLE AS difference FROM (SELECT unnest(range(64)) AS i) d, (SELECT unnest(range(1, 4)) AS j) k",
+)
+def e16_identity(spark, d):
+    """What defines a component: a dimension's covariance with the score is the score's variance times the loading."""
+    pc, loadings = _pca(spark, d)
+    flat = pc.select("p", F.posexplode("x").alias("dimension", "x"))
+    found = flat.groupBy("dimension").agg(
+        F.array(*[F.struct(F.covar_samp("x", F.col("p")[j]).alias("c"), F.var_samp(F.col("p")[j]).alias("v")) for j in range(3)]).alias("e")
+    )
+    # as many loadings as a vector has dimensions
+    own = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(loadings)], "dimension int, w array<double>")
+    rows = found.join(own, "dimension").select("dimension", F.posexplode(F.arrays_zip("e", "w")).alias("j", "z"))
+    off = F.col("z.e.c") - F.col("z.e.v") * F.col("z.w")
+    return rows.select("dimension", (F.col("j") + 1).alias("component"), (F.round(off, 6) + F.lit(0.0)).alias("difference"))
 
 
 @query(
