@@ -141,12 +141,15 @@ class _Writer(DataSourceArrowWriter):
     """Tasks write below a hidden folder of the job.
 
     A commit shows the files of the attempts that counted and drops the folder, and with
-    it what failed or lost attempts left; an abort only drops it.
+    it what failed or lost attempts left; an abort only drops it.  Only the driver makes the
+    folder, so a task that is still running then has nowhere to write and fails.
     """
 
     def __init__(self, path: str, schema: StructType, overwrite: bool):
         self.path, self.schema, self.overwrite = path, schema, overwrite
         self.job = f"_job-{uuid.uuid4().hex}"
+        fs, root = _open(path)
+        fs.create_dir(f"{root}/{self.job}", recursive=True)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, root = _open(self.path)
@@ -154,7 +157,6 @@ class _Writer(DataSourceArrowWriter):
         if first is None:
             return _Done("")
         name = f"part-{uuid.uuid4().hex}.arrow"
-        fs.create_dir(f"{root}/{self.job}", recursive=True)
         with fs.open_output_stream(f"{root}/{self.job}/{name}") as sink, ipc.new_file(sink, first.schema) as writer:
             writer.write_batch(first)
             for b in batches:
@@ -169,7 +171,6 @@ class _Writer(DataSourceArrowWriter):
         names = [m.name for m in messages if m is not None and m.name]
         if not names and (self.overwrite or not before):  # an empty table still has columns
             names = [f"part-{uuid.uuid4().hex}.arrow"]
-            fs.create_dir(f"{root}/{self.job}", recursive=True)
             with fs.open_output_stream(f"{root}/{self.job}/{names[0]}") as sink:
                 ipc.new_file(sink, to_arrow_schema(self.schema)).close()
         for name in names:
@@ -184,8 +185,14 @@ class _Writer(DataSourceArrowWriter):
 
     def _drop(self) -> None:
         fs, root = _open(self.path)
-        if fs.get_file_info(f"{root}/{self.job}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{root}/{self.job}")
+        for last in (False, False, True):  # a task may add its file while the folder goes
+            try:
+                if fs.get_file_info(f"{root}/{self.job}").type == pafs.FileType.Directory:
+                    fs.delete_dir(f"{root}/{self.job}")
+                return
+            except OSError:
+                if last:
+                    raise
 
 
 class _Done(WriterCommitMessage):
