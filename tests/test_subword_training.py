@@ -108,3 +108,28 @@ def test_estimator_saves_and_loads(spark, tmp_path):
     # one text is cut as a table of texts is
     for r in model.transform(docs.where(F.col("text").isNotNull())).collect():
         assert model.encode(r["text"])["ids"] == r["ids"]
+
+
+def test_encoding_and_decoding_in_small_slices(spark, monkeypatch):
+    """Slices of a few words and a memo of a few words give what whole batches give, nulls and empty texts included."""
+    monkeypatch.setattr(wordpiece, "_SLICE_WORDS", 3)
+    monkeypatch.setattr(wordpiece, "_MEMO_WORDS", 2)
+    texts = ["low lower, lowest low", None, "", "  low\tΩ low ", "low " * 40, "lower"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    vocab = wordpiece.vocab_table(spark, [*wordpiece.SPECIALS, "low", "##er", ","])
+    rows = {r["doc_id"]: r for r in wordpiece.encode(docs, vocab).collect()}
+    assert rows[0]["tokens"] == ["low", "low", "##er", ",", "[UNK]", "low"]
+    assert (rows[0]["starts"], rows[0]["ends"]) == ([0, 4, 7, 9, 11, 18], [3, 7, 9, 10, 17, 21])
+    assert rows[1]["ids"] == rows[2]["ids"] == [] and rows[2]["tokens"] == []
+    assert (rows[3]["ids"], rows[3]["starts"]) == ([5, 1, 5], [2, 6, 8])
+    assert rows[4]["starts"] == list(range(0, 160, 4)) and rows[5]["ids"] == [5, 6]
+    ids = spark.createDataFrame([(0, [5, 6, 99, None, -1]), (1, None), (2, []), (3, [2, 5, 7])], "doc_id long, ids array<int>").coalesce(1)
+    back = {r["doc_id"]: r["decoded"] for r in wordpiece.decode(ids, "ids", vocab).collect()}
+    assert back == {0: "lower[UNK][UNK][UNK]", 1: None, 2: "", 3: "[CLS]low,"}
+
+
+def test_words_of_a_task_are_cut_into_bounded_slices():
+    import pyarrow as pa
+
+    lists = pa.array([["a"] * 4, None, [], ["b"] * 9, ["c"], ["d"]])
+    assert [*wordpiece._slices(lists, 4)] == [(0, 3), (3, 4), (4, 6)]

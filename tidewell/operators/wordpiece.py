@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
@@ -21,7 +24,11 @@ SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 SKIPPED_BY_NAME = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
 
 # Larger vocabularies are not sent to the tasks; words are segmented by joins instead.
-MAX_SENT_TOKENS = 200_000
+MAX_SENT_TOKENS = 1_000_000
+
+# A task encodes so many words at a time and remembers so many segmented ones.
+_SLICE_WORDS = 1 << 15
+_MEMO_WORDS = 1 << 17
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -131,49 +138,96 @@ _ENCODING = T.StructType(
 )
 
 
+def _slices(lists: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about ``size`` entries; a longer row is a range of its own."""
+    upto = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo, done = 0, 0
+    while lo < len(lists):
+        hi = max(lo + 1, int(np.searchsorted(upto, done + size, side="right")))
+        yield lo, hi
+        lo, done = hi, int(upto[hi - 1])
+
+
+class _Segmenter:
+    """Longest matches from the left, with the latest words remembered."""
+
+    def __init__(self, ids_of: dict[str, int], unknown: str):
+        self.ids_of, self.unknown, self.memo = ids_of, unknown, {}
+
+    def pieces(self, word: str) -> list[tuple[int, str, int, int]]:
+        """(id, token, start, end) of each piece; one unknown token if a place has no match."""
+        found = self.memo.get(word)
+        if found is None:
+            if len(self.memo) >= _MEMO_WORDS:
+                self.memo.clear()
+            found = self.memo[word] = self._walk(word)
+        return found
+
+    def _walk(self, word: str) -> list[tuple[int, str, int, int]]:
+        out, i = [], 0
+        while i < len(word):
+            for end in range(len(word), i, -1):
+                token = word[i:end] if i == 0 else "##" + word[i:end]
+                if token in self.ids_of:
+                    out.append((self.ids_of[token], token, i, end))
+                    i = end
+                    break
+            else:
+                return [(self.ids_of[self.unknown], self.unknown, 0, len(word))]
+        return out
+
+    def encode(self, words: pa.Array, gaps: pa.Array) -> pa.Array:
+        """Rows of ``_ENCODING``; every distinct word is looked up once, the rest is arithmetic on arrays."""
+        n = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.dictionary_encode(words.flatten())
+        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        segments = [self.pieces(w) for w in distinct]
+        count = np.array([len(x) for x in segments], np.int64)
+        flat = [x for segment in segments for x in segment]
+        token = pa.array([x[1] for x in flat], pa.string())
+        ident, start, end = (np.array([x[k] for x in flat], np.int32) for k in (0, 2, 3))
+
+        # where each word starts: the gaps up to its own and the words before it
+        row = np.repeat(np.arange(len(n)), n)
+        rank = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+        m = pc.list_value_length(gaps).to_numpy(zero_copy_only=False).astype(np.int64)
+        gap = gaps.flatten().to_numpy(zero_copy_only=False)[(np.cumsum(m) - m)[row] + rank].astype(np.int64)
+        size = np.array([len(w) for w in distinct], np.int64)[code]
+        upto = np.cumsum(gap + size)
+        before = np.concatenate([[0], upto])[np.cumsum(n) - n]
+        at = upto - size - before[row]
+
+        each = count[code]
+        place = np.repeat((np.cumsum(count) - count)[code] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, weights=each, minlength=len(n)).astype(np.int64))])
+        rows = pa.array(offsets, pa.int32())
+        at = np.repeat(at, each)
+        values = [ident[place], token.take(pa.array(place)), (at + start[place]).astype(np.int32), (at + end[place]).astype(np.int32)]
+        columns = [pa.ListArray.from_arrays(rows, v if isinstance(v, pa.Array) else pa.array(v)) for v in values]
+        return pa.StructArray.from_arrays(columns, _ENCODING.names)
+
+
 def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", unknown: str = "[UNK]") -> DataFrame:
     """Add ``ids, tokens, starts, ends`` (character offsets in the lower-case text); a null text counts as empty.
 
     Words are cut in generated code.  With a vocabulary of bounded size the pieces
-    are looked up in place: whole documents, no shuffle, each distinct word of a
-    task segmented once.  A larger vocabulary goes through ``segment_words``.
+    are looked up in place: whole documents, no shuffle, a task holds the pieces of
+    ``_SLICE_WORDS`` words or one document.  A larger vocabulary goes through ``segment_words``.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     gaps = F.transform(F.split(F.lower(whole), WORD_OR_MARK, -1), F.length)
     cut = docs.withColumns({"_words": words_and_marks(whole), "_gaps": gaps})
     if vocab.limit(MAX_SENT_TOKENS + 1).count() > MAX_SENT_TOKENS:
         return _encode_by_join(cut, vocab, docs.columns, unknown)
-    table = docs.sparkSession.sparkContext.broadcast({r["token"]: r["id"] for r in vocab.collect()})
-
-    @F.pandas_udf(_ENCODING)
-    def pieces(words: pd.Series, gap: pd.Series) -> pd.DataFrame:
-        ids_of, memo = table.value, {}
-
-        def segment(word: str) -> list[tuple[int, str, int, int]]:
-            out, i = [], 0
-            while i < len(word):
-                for end in range(len(word), i, -1):
-                    token = word[i:end] if i == 0 else "##" + word[i:end]
-                    if token in ids_of:
-                        out.append((ids_of[token], token, i, end))
-                        i = end
-                        break
-                else:
-                    return [(ids_of[unknown], unknown, 0, len(word))]
-            return out
-
-        rows = []
-        for ws, gs in zip(words, gap):
-            lengths = np.fromiter((len(w) for w in ws), dtype=np.int64, count=len(ws))
-            starts = np.cumsum(np.asarray(gs[: len(ws)], dtype=np.int64)) + np.cumsum(lengths) - lengths
-            found = []
-            for w, at in zip(ws, starts.tolist()):
-                p = memo.get(w)
-                if p is None:
-                    p = memo[w] = segment(w)
-                found.extend((i, t, at + s, at + e) for i, t, s, e in p)
-            rows.append(tuple(list(c) for c in zip(*found)) if found else ([], [], [], []))
-        return pd.DataFrame(rows, columns=["ids", "tokens", "starts", "ends"])
+    known = vocab.select("token", "id").toArrow()
+    table = docs.sparkSession.sparkContext.broadcast(dict(zip(known["token"].to_pylist(), known["id"].to_pylist())))
+
+    @F.arrow_udf(_ENCODING)
+    def pieces(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        own = _Segmenter(table.value, unknown)
+        for words, gap in batches:
+            for lo, hi in _slices(words, _SLICE_WORDS):
+                yield own.encode(words.slice(lo, hi - lo), gap.slice(lo, hi - lo))
 
     return cut.withColumn("_e", pieces("_words", "_gaps")).select(*docs.columns, "_e.*")
 
@@ -239,27 +293,27 @@ def decode(
     """
     kept = F.filter(ids, lambda i: i > 4) if skip == "id" else F.col(ids)
     if vocab.limit(max_sent + 1).count() <= max_sent:
-        # entry i of the list is the token of id i: looked up by place, not searched for
-        entries = F.array_sort(F.collect_list(F.struct("id", "token")))
-        size = F.max("id") + 1
-        full = vocab.agg(entries.alias("e"), size.alias("n")).select(
-            F.transform(
-                F.array_sort(
-                    F.concat(
-                        F.transform("e", lambda x: F.struct(x["id"].cast("long").alias("i"), x["token"].alias("t"))),
-                        F.transform(
-                            F.array_except(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), F.transform("e", lambda x: x["id"].cast("long"))),
-                            lambda i: F.struct(i.alias("i"), F.lit(None).cast("string").alias("t")),
-                        ),
-                    )
-                ),
-                lambda x: x["t"],
-            ).alias("m")
-        )
-        named = df.withColumn("_m", full.scalar())
-        known = lambda i: F.when(i >= 0, F.get("_m", i))
-        tokens = F.transform(kept, lambda i: F.coalesce(known(i), F.lit("[UNK]")))
-        named = named.withColumn("_tokens", tokens).drop("_m")
+        known = vocab.where(F.col("id") >= 0).select(F.col("id").cast("long").alias("id"), "token").toArrow().sort_by("id")
+        table = df.sparkSession.sparkContext.broadcast((known["id"].to_numpy(), known["token"].to_pylist()))
+
+        @F.arrow_udf("array<string>")
+        def names(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            ids, tokens = table.value
+            # the last entry stands for ids that are not in the vocabulary
+            token = pa.array([*tokens, "[UNK]"], pa.string())
+            for lists in batches:
+                for lo, hi in _slices(lists, _SLICE_WORDS):
+                    part = lists.slice(lo, hi - lo)
+                    wanted = pc.fill_null(part.flatten().cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
+                    place = np.searchsorted(ids, wanted)
+                    hit = place < len(ids)
+                    hit[hit] = ids[place[hit]] == wanted[hit]
+                    named = pc.fill_null(token.take(pa.array(np.where(hit, place, len(ids)))), "[UNK]")
+                    upto = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+                    empty = pc.is_null(part) if part.null_count else None
+                    yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]), pa.int32()), named, mask=empty)
+
+        named = df.withColumn("_tokens", names(kept))
     else:
         single = df.select(key, F.posexplode(kept).alias("_p", "_i"))
         names = vocab.select(F.col("id").alias("_i"), "token")
