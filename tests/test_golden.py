@@ -221,3 +221,33 @@ def test_pairs_of_one_sentence_are_many_tasks(spark):
     per_task = [r["n"] for r in met.groupBy(F.spark_partition_id()).agg(F.sum(pairs).alias("n")).collect()]
     assert sum(per_task) == 100_000 * 99_999 / 2
     assert len(per_task) == 8 and max(per_task) < 1.2 * sum(per_task) / 8
+
+
+def test_pairs_counted_in_small_parts(spark, monkeypatch):
+    """Counts of a few pairs at a time equal the pairs themselves: repeated, null, empty and long rows."""
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(cooccur, "_COUNTED", 16)
+    monkeypatch.setattr(cooccur, "_HANDED", 3)
+    draw = random.Random(5)
+    rows = [[draw.choice("abcdé") for _ in range(n)] for n in (0, 1, 2, 4, 5, 90, 5)] + [None, ["a", "a", "b"], ["a", "a", "b"]]
+    d = spark.createDataFrame([(r,) for r in rows], "t array<string>").repartition(2)
+    want, near = Counter(), Counter()
+    for r in rows:
+        for i in range(len(r or [])):
+            for j in range(max(0, i - 3), min(len(r), i + 4)):
+                if i != j:
+                    near[r[i], r[j], 0] += 1
+                    near[r[i], r[j], 1] += 1 / abs(i - j)
+                if i != j and abs(i - j) <= 2 and 2 <= i < len(r) - 2:
+                    want[r[i], r[j]] += 1
+    got = {(r["center"], r["context"]): r["n"] for r in cooccur.skipgram_counts(d, "t", 2).collect()}
+    assert got == want
+    assert want == Counter((r["center"], r["context"]) for r in cooccur.skipgram_pairs(d, "t", 2).collect())
+    for weighted in (False, True):
+        got = {(r["a"], r["b"]): r["n"] for r in cooccur.cooccurrence(d, "t", 3, weighted).collect()}
+        assert got == pytest.approx({k[:2]: v for k, v in near.items() if k[2] == weighted})
+    numbers = spark.createDataFrame([([5, 7, 5, 9, 7],)], "t array<long>")
+    assert cooccur.skipgram_counts(numbers, "t", 1).agg(F.sum("n")).first()[0] == 6
+    assert dict(cooccur.cooccurrence(numbers, "t", 1).dtypes) == {"a": "bigint", "b": "bigint", "n": "bigint"}
