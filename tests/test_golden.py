@@ -251,3 +251,31 @@ def test_pairs_counted_in_small_parts(spark, monkeypatch):
     numbers = spark.createDataFrame([([5, 7, 5, 9, 7],)], "t array<long>")
     assert cooccur.skipgram_counts(numbers, "t", 1).agg(F.sum("n")).first()[0] == 6
     assert dict(cooccur.cooccurrence(numbers, "t", 1).dtypes) == {"a": "bigint", "b": "bigint", "n": "bigint"}
+
+
+def test_classifier_sends_no_more_gradients_than_there_are_cores(spark, monkeypatch):
+    """Partitions are merged before the solver's passes, and the weights come back by column."""
+    seen = []
+    fit = classify.LogisticRegression.fit
+    monkeypatch.setattr(classify.LogisticRegression, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    triples = spark.createDataFrame([(i, i % 3, 1.0) for i in range(60)], "row long, col long, value double")
+    docs = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 3 AS double) AS y")
+    vectors = classify.feature_vectors(triples, docs, 4).repartition(40)
+    coef, intercept = classify.fit_multinomial(vectors, "y")
+    assert seen[0] <= spark.sparkContext.defaultParallelism
+    w = {(r["class_id"], r["col"]): r["weight"] for r in coef.collect()}
+    assert len(w) == 12 and all(w[c, c] > 0 > w[c, (c + 1) % 3] for c in range(3)) and intercept.count() == 3
+    assert all(abs(sum(w[c, j] for c in range(3))) < 1e-9 for j in range(4))
+    test = spark.createDataFrame([(0,), (1,), (2,)], "doc_id long")
+    found = classify.predict(classify.logits(triples.where("row < 3"), test, coef, intercept)).collect()
+    assert {r["doc_id"]: r["predicted"] for r in found} == {0: 0, 1: 1, 2: 2}
+
+
+def test_csr_reads_its_triples_once(spark):
+    """Rows are collected once: a second reading would count the entries again."""
+    read = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(2, 1, 5), (0, 3, 1), (2, 0, 4)], "row long, col long, value long")
+    noted = F.udf(lambda v: read.add(1) or v, "long").asNondeterministic()
+    got = terms.csr_rows(rows.withColumn("value", noted("value"))).orderBy("row").collect()
+    assert [(r["indices"], r["data"], r["start"], r["end"]) for r in got] == [([3], [1], 0, 1), ([0, 1], [4, 5], 1, 3)]
+    assert read.value == 3
