@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import itertools
 import random
 
 import numpy as np
@@ -132,6 +133,30 @@ def test_icar_scaling(spark):
     assert mixed[20, 20] == pytest.approx(0.8)
 
 
+def test_components_are_inverted_side_by_side(spark):
+    """Components cut by batches, of equal and other sizes and with text keys, give one inverse each."""
+    import pyarrow as pa
+
+    rows = [(f"c{c:03d}", f"{c:03d}-{i}", f"{c:03d}-{j}", (n - 1.0) if i == j else -1.0)
+            for c, n in enumerate([1, 3, 2, 3, 1, 4, 2] * 30) for i in range(n) for j in range(n)]
+    whole = pa.RecordBatch.from_pylist([dict(zip(("component", "i", "j", "value"), r)) for r in rows])
+    got = {}
+    for part in graph._whole_components(iter([whole.slice(lo, 7) for lo in range(0, len(rows), 7)])):
+        for batch in graph._inverses(part, 5000):
+            got |= {(r["i"], r["j"]): (r["component"], r["n"], r["scale"], r["value"]) for r in batch.to_pylist()}
+    assert set(got) == {r[1:3] for r in rows}
+    for c, n in enumerate([1, 3, 2, 3, 1, 4, 2] * 30):
+        q = n * np.eye(n) - np.ones((n, n))
+        inv = np.linalg.pinv(q)
+        scale = np.exp(np.mean(np.log(np.diag(inv)))) if n > 1 else 1.0
+        for i, j in itertools.product(range(n), repeat=2):
+            name, size, factor, value = got[f"{c:03d}-{i}", f"{c:03d}-{j}"]
+            assert (name, size) == (f"c{c:03d}", n) and factor == pytest.approx(scale, rel=1e-5)
+            assert value == pytest.approx(inv[i, j] / scale, rel=1e-5, abs=1e-9)
+    with pytest.raises(ValueError, match="c005 has 4 areas"):
+        list(graph._inverses(pa.Table.from_batches([whole]), 3))
+
+
 def test_grouped_gram_flat_and_grouped(spark):
     rng = np.random.default_rng(0)
     data = [(int(k), rng.normal(size=3).tolist(), float(rng.normal()), float(rng.random())) for k in np.r_[np.zeros(400), rng.integers(1, 300, 600)]]

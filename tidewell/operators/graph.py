@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,34 +113,94 @@ def icar_components(components: DataFrame, edges: DataFrame, max_dense: int = 50
         ]
     )
 
-    def invert(g: pd.DataFrame) -> pd.DataFrame:
-        ids = np.sort(g["i"].unique())
-        n = len(ids)
-        if n > max_dense:
-            raise ValueError(f"component {g['component'].iloc[0]} has {n} areas, more than {max_dense}")
-        m = np.zeros((n, n))
-        np.add.at(m, (np.searchsorted(ids, g["i"]), np.searchsorted(ids, g["j"])), g["value"].to_numpy())
-        if n == 1:
-            scale, inverse = 1.0, np.zeros((1, 1))
-        else:
-            jitter = m.diagonal().max() * np.sqrt(np.finfo(float).eps)
-            cov = np.linalg.inv(m + jitter * np.eye(n))
-            row = cov.sum(axis=1)
-            constrained = cov - np.outer(row, row) / row.sum()
-            scale = float(np.exp(np.mean(np.log(np.diag(constrained)))))
-            inverse = np.linalg.pinv(m, hermitian=True) / scale
-        return pd.DataFrame(
-            {
-                "component": g["component"].iloc[0],
-                "n": np.int32(n),
-                "scale": scale,
-                "i": np.repeat(ids, n),
-                "j": np.tile(ids, n),
-                "value": inverse.ravel(),
-            }
-        )
-
-    return q.groupBy("component").applyInPandas(invert, schema)
+    def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_components(batches):
+            yield from _inverses(whole, max_dense)
+
+    # a task inverts its components as they come, those of one size side by side
+    dealt = q.select("component", "i", "j", "value").repartition("component").sortWithinPartitions("component")
+    return dealt.mapInArrow(invert, schema)
+
+
+#: Entries of the matrices that a task inverts at a time, and rows of a batch that it hands back.
+_ENTRIES = 1 << 20
+_HANDED = 1 << 16
+
+
+def _whole_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by ``component`` in tables that cut no component."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("component").dictionary_encode(null_encoding="encode").indices.to_numpy()
+        changes = np.flatnonzero(key[1:] != key[:-1]) + 1
+        if held and held[-1].column("component")[-1].as_py() != batch.column("component")[0].as_py():
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(changes):
+            last = int(changes[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held, batch = [], batch.slice(last)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _inverses(q: pa.Table, max_dense: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``icar_components`` for the whole components in ``q``."""
+    coded = q["component"].combine_chunks().dictionary_encode(null_encoding="encode")
+    owner = coded.indices.to_numpy().astype(np.int64)
+    # ids are numbered in their order; with the component in front, places in it are differences
+    named = pc.unique(q["i"])
+    named = named.take(pc.sort_indices(named))
+    i, j = (np.searchsorted(named.to_numpy(zero_copy_only=False), q[c].to_numpy()) for c in "ij")
+    base = len(named) + 1
+    areas = np.unique(owner * base + i)
+    first = np.searchsorted(areas, np.arange(len(coded.dictionary) + 1) * base)
+    sizes = np.diff(first)
+    if sizes.max() > max_dense:
+        k = int(sizes.argmax())
+        raise ValueError(f"component {coded.dictionary[k].as_py()} has {sizes[k]} areas, more than {max_dense}")
+    at_i, at_j = (np.searchsorted(areas, owner * base + at) - first[owner] for at in (i, j))
+    value = q["value"].to_numpy()
+    by_size = np.argsort(sizes[owner], kind="stable")
+    row_sizes = sizes[owner][by_size]
+    for n in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == n)
+        rows = by_size[np.searchsorted(row_sizes, n) : np.searchsorted(row_sizes, n, "right")]
+        rows = rows[np.argsort(owner[rows], kind="stable")]
+        for lo in range(0, len(own), max(1, _ENTRIES // (n * n))):
+            group = own[lo : lo + max(1, _ENTRIES // (n * n))]
+            mine = rows[np.searchsorted(owner[rows], group[0]) : np.searchsorted(owner[rows], group[-1], "right")]
+            m = np.zeros((len(group), n, n))
+            np.add.at(m, (np.searchsorted(group, owner[mine]), at_i[mine], at_j[mine]), value[mine])
+            scale, inverse = _scaled_inverses(m)
+            ids = areas[first[group][:, None] + np.arange(n)] % base
+            places = [np.repeat(group, n * n), np.repeat(ids, n, axis=1).ravel(), np.tile(ids, (1, n)).ravel()]
+            for at in range(0, len(places[0]), _HANDED):
+                c, a, b = (pa.array(x[at : at + _HANDED]) for x in places)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        coded.dictionary.take(c), pa.array(np.full(len(c), n, np.int32)),
+                        pa.array(np.repeat(scale, n * n)[at : at + _HANDED]),
+                        named.take(a), named.take(b), pa.array(inverse.ravel()[at : at + _HANDED]),
+                    ],
+                    ["component", "n", "scale", "i", "j", "value"],
+                )
+
+
+def _scaled_inverses(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scaling factors and scaled generalised inverses of matrices ``Q`` of one size (k x n x n)."""
+    k, n, _ = m.shape
+    if n == 1:
+        return np.ones(k), np.zeros_like(m)
+    jitter = np.diagonal(m, axis1=1, axis2=2).max(axis=1) * np.sqrt(np.finfo(float).eps)
+    cov = np.linalg.inv(m + jitter[:, None, None] * np.eye(n))
+    row = cov.sum(axis=2)
+    constrained = cov - row[:, :, None] * row[:, None, :] / row.sum(axis=1)[:, None, None]
+    scale = np.exp(np.mean(np.log(np.diagonal(constrained, axis1=1, axis2=2)), axis=1))
+    return scale, np.linalg.pinv(m, hermitian=True) / scale[:, None, None]
 
 
 def mixed_covariance(scaled: DataFrame, rho: float) -> DataFrame:
