@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.hashing import mix, uniform
 from tidewell.functions.numeric import pad_to
@@ -148,6 +154,50 @@ def neighbour_targets(tokens: Column) -> Column:
     return F.arrays_zip(tokens.alias("token"), forward.alias("forward"), backward.alias("backward"))
 
 
+def target_summary(rows: DataFrame, most: int = 1 << 21) -> DataFrame:
+    """Per ``token``: ``n`` rows, ``n_forward`` and ``n_backward`` of them with a neighbour, ``first_forward`` and
+    ``last_backward`` in order.
+
+    Tasks summarise their rows first, about ``most`` of them at a time, so that a task's summaries
+    move and no rows are sorted.
+    """
+    kinds = {f.name: f.dataType for f in rows.select("token", "forward", "backward").schema.fields}
+    long = T.LongType()
+    schema = T.StructType(
+        [T.StructField("token", kinds["token"]), *[T.StructField(c, long) for c in ("n", "n_forward", "n_backward")],
+         T.StructField("first_forward", kinds["forward"]), T.StructField("last_backward", kinds["backward"])]
+    )
+    sums = [("n", "sum"), ("n_forward", "sum"), ("n_backward", "sum"), ("first_forward", "min"), ("last_backward", "max")]
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
+
+        def merged() -> pa.Table:
+            found = pa.concat_tables(held).group_by("token", use_threads=False).aggregate(sums)
+            return found.select(["token", *[f"{c}_{how}" for c, how in sums]]).rename_columns(schema.names)
+
+        for batch in batches:
+            token, forward, backward = (batch.column(c) for c in ("token", "forward", "backward"))
+            ones = [pa.array(np.ones(len(token), np.int64)), *[pc.is_valid(c).cast(pa.int64()) for c in (forward, backward)]]
+            held.append(pa.Table.from_arrays([token, *ones, forward, backward], names=schema.names))
+            size += len(token)
+            if size > most:
+                held = [merged()]
+                size = held[0].num_rows
+                if 2 * size > most:  # mostly different: handed on, else every merge would gain little
+                    yield from held[0].to_batches(1 << 16)
+                    held, size = [], 0
+        if held:
+            yield from merged().to_batches(1 << 16)
+
+    parts = rows.select("token", "forward", "backward").mapInArrow(summarise, schema)
+    return parts.groupBy("token").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_forward", "n_backward")],
+        F.min("first_forward").alias("first_forward"), F.max("last_backward").alias("last_backward"),
+    )
+
+
 def shuffled_position(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """Add ``place``: the row's place in a seeded permutation that no partitioning can change.
 

@@ -413,10 +413,7 @@ def l11(spark, d):
 )
 def l12(spark, d):
     x = _space_docs(spark, d).where(F.size("tokens") > 0).select(F.inline(cp.neighbour_targets(F.col("tokens"))))
-    return x.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.count("forward").alias("n_forward"), F.count("backward").alias("n_backward"),
-        F.min("forward").alias("first_forward"), F.max("backward").alias("last_backward"),
-    )
+    return cp.target_summary(x)
 
 
 @query("l13_content_mask", f"WITH c AS (SELECT conv_id, turn, len({SPACES_SQL}) AS n FROM conversations) SELECT conv_id, turn, repeat('1', CAST(least(n, 24) AS BIGINT)) || repeat('0', CAST(greatest(24 - n, 0) AS BIGINT)) AS mask FROM c")
