@@ -367,6 +367,14 @@ def test_language(spark, odd_docs, no_docs):
     assert all((r["lang_pred"] == "und") == (not re.search(r"[^\W\d_]", r["text"] or "")) for r in odd)
     assert rows(language.predict(no_docs, net)) == [] and language.train(no_docs) is None
     assert {r["lang_pred"] for r in language.predict(odd_docs, None).collect()} == {"und"}
+    # a text goes to the task once, and rows come back in small parts as they were
+    out = language.predict(odd_docs, net, part_bytes=16)
+    assert out.columns == [c for c in odd_docs.columns if c not in ("lang_pred", "score")] + ["lang_pred", "score"]
+    before = odd_docs.select(*out.columns[:-2])
+    assert sorted(map(str, out.select(*before.columns).collect())) == sorted(map(str, before.collect()))
+    assert sorted((str(r["doc_id"]), r["lang_pred"]) for r in out.collect()) == sorted((str(r["doc_id"]), r["lang_pred"]) for r in odd)
+    only = language.predict(odd_docs.select("text"), net)
+    assert only.columns == ["text", "lang_pred", "score"] and only.count() == odd_docs.count()
 
 
 # -- 7 personal data --------------------------------------------------------------------------

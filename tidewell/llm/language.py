@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidewell.llm.common import materialize, query, table
@@ -228,52 +229,61 @@ def train(
     return fit(np.stack(segments), np.array(target), languages, hidden, epochs, seed=seed)
 
 
-def predict(docs: DataFrame, net: Network | None, side_by_side: int = 2048) -> DataFrame:
+def predict(docs: DataFrame, net: Network | None, side_by_side: int = 1024, part_bytes: int = 1 << 18) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the mean probability of that language.
 
     Null texts, texts without letters, and all texts without a network get ``und`` and 0.
-    Only the text is read; columns with these two names are replaced.
+    Only the text is read; columns with these two names are replaced.  A task holds a text once,
+    and hands rows on in parts of about ``part_bytes`` of text, or one longer text.
     """
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     if net is None:
         return docs.select(*[f"`{c}`" for c in names], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    whole = F.struct(*[F.col(f"`{c}`") for c in names])
-    text = F.when(F.col("text").rlike("\\p{L}"), F.col("text").cast("string"))
-    rows = docs.select(whole.alias("row"), text.alias("text"))
+    # a text that is a string goes along as what is read; any other goes along beside it
+    same = isinstance(docs.select("text").schema[0].dataType, T.StringType)
+    read = next(c for c in [*["text"] * ("text" in names), *names] if c.lower() == "text") if same else None
+    rest = [F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(names) if c != read]
+    rows = docs.select(
+        F.struct(*(rest or [F.lit(0).alias("_")])).alias("row"),
+        F.col("text").cast("string").alias("text"),
+        F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("lettered"),
+    )
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
+            lettered = batch.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
             offsets = value_offsets(column)
             data = column.buffers()[2]
             raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-            total = np.zeros((len(column), len(net.languages)))
-            letters = np.zeros(len(column))
             lo = 0
-            while lo < len(column):  # about 1 MB at a time, or one longer text
-                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (1 << 20), "right")) - 1)
+            while lo < len(column):
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + part_bytes, "right")) - 1)
                 hi = min(hi, len(column))
+                total, letters = np.zeros((hi - lo, len(net.languages))), np.zeros(hi - lo)
                 segments, owner = _segments(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                own = lettered[lo:hi][owner]
+                segments, owner = segments[own], owner[own]
                 for at in range(0, len(segments), side_by_side):
                     steps = np.ascontiguousarray(segments[at : at + side_by_side].T)
                     weight = _LETTER[steps].astype(np.float32)
                     p = np.einsum("tcb,tb->bc", probabilities(net, steps), weight)
-                    np.add.at(total, lo + owner[at : at + side_by_side], p)
-                    np.add.at(letters, lo + owner[at : at + side_by_side], weight.sum(axis=0))
+                    np.add.at(total, owner[at : at + side_by_side], p)
+                    np.add.at(letters, owner[at : at + side_by_side], weight.sum(axis=0))
+                total /= np.maximum(letters, 1)[:, None]
+                found = [net.languages[b] if n else "und" for b, n in zip(total.argmax(axis=1), letters)]
+                score = np.where(letters > 0, np.minimum(total.max(axis=1), 1.0), 0.0)
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), part.column("text"), pa.array(found, pa.string()), pa.array(score, pa.float64())],
+                    ["row", "text", "lang_pred", "score"],
+                )
                 lo = hi
-            total /= np.maximum(letters, 1)[:, None]
-            best = total.argmax(axis=1)
-            found = [net.languages[b] if n else "und" for b, n in zip(best, letters)]
-            score = np.where(letters > 0, np.minimum(total.max(axis=1), 1.0), 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(found, pa.string()), pa.array(score, pa.float64())],
-                ["row", "lang_pred", "score"],
-            )
-
-    out = rows.select("row", "text").mapInArrow(
-        label, rows.select("row").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
-    )
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "lang_pred", "score")
+
+    schema = rows.select("row", "text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
+    out = rows.mapInArrow(label, schema)
+    back = [F.col("text") if c == read else F.col(f"row._{k}") for k, c in enumerate(names)]
+    return out.select(*[c.alias(name) for c, name in zip(back, names)], "lang_pred", "score")
 
 
 @query("op6_language_id")
