@@ -153,6 +153,14 @@ def test_components_are_inverted_side_by_side(spark):
             name, size, factor, value = got[f"{c:03d}-{i}", f"{c:03d}-{j}"]
             assert (name, size) == (f"c{c:03d}", n) and factor == pytest.approx(scale, rel=1e-5)
             assert value == pytest.approx(inv[i, j] / scale, rel=1e-5, abs=1e-9)
+    # a matrix that is no graph's has no scale: null, beside components that have one
+    odd = pa.RecordBatch.from_pylist([
+        dict(zip(("component", "i", "j", "value"), r))
+        for r in [(0, 0, 0, 2.0), (0, 0, 1, -2.0), (0, 1, 1, 1.0), (0, 1, 0, -1.0), (2, 2, 2, 1.0), (2, 2, 3, -1.0), (2, 3, 3, 1.0), (2, 3, 2, -1.0),
+                  (4, 4, 4, 1.0), (4, 4, 5, -3.0), (4, 5, 5, 1.0), (4, 5, 4, -1.0)]
+    ])
+    scales = {r["component"]: r["scale"] for b in graph._inverses(pa.Table.from_batches([odd]), 9) for r in b.to_pylist()}
+    assert scales[4] is None and scales[2] == pytest.approx(0.25)
     with pytest.raises(ValueError, match="c005 has 4 areas"):
         list(graph._inverses(pa.Table.from_batches([whole]), 3))
 

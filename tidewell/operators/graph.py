@@ -148,7 +148,7 @@ def _whole_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _inverses(q: pa.Table, max_dense: int) -> Iterator[pa.RecordBatch]:
-    """Rows of ``icar_components`` for the whole components in ``q``."""
+    """Rows of ``icar_components`` for the whole components in ``q``; what is not a number is null."""
     coded = q["component"].combine_chunks().dictionary_encode(null_encoding="encode")
     owner = coded.indices.to_numpy().astype(np.int64)
     # ids are numbered in their order; with the component in front, places in it are differences
@@ -183,8 +183,8 @@ def _inverses(q: pa.Table, max_dense: int) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [
                         coded.dictionary.take(c), pa.array(np.full(len(c), n, np.int32)),
-                        pa.array(np.repeat(scale, n * n)[at : at + _HANDED]),
-                        named.take(a), named.take(b), pa.array(inverse.ravel()[at : at + _HANDED]),
+                        pa.array(np.repeat(scale, n * n)[at : at + _HANDED], from_pandas=True),
+                        named.take(a), named.take(b), pa.array(inverse.ravel()[at : at + _HANDED], from_pandas=True),
                     ],
                     ["component", "n", "scale", "i", "j", "value"],
                 )
