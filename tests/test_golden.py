@@ -1,6 +1,7 @@
 """Small worked examples with known answers."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import numeric as nm
 from tidewell.functions import text as tx
 from tidewell.functions.dates import month_number
-from tidewell.operators import classify, cooccur, corpus, graph, summaries, terms, wordpiece
+from tidewell.operators import classify, cooccur, corpus, graph, summaries, terms, wordpiece, wordvec
 from tidewell.operators.incidence import log_factorial
 
 SENTENCE = "the quick brown fox jumps over the lazy dog"
@@ -279,3 +280,57 @@ def test_csr_reads_its_triples_once(spark):
     got = terms.csr_rows(rows.withColumn("value", noted("value"))).orderBy("row").collect()
     assert [(r["indices"], r["data"], r["start"], r["end"]) for r in got] == [([3], [1], 0, 1), ([0, 1], [4, 5], 1, 3)]
     assert read.value == 3
+
+
+def _shuffles(df):
+    """Exchanges of the plan that no other one is reused for."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count(" Exchange ")
+
+
+def test_counts_per_token_are_dealt_once(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "c"), (None, "a"), (None, "a"), (1, "a")]
+    tokens = spark.createDataFrame(rows, "doc_id long, token string").repartition(3)
+    counts = terms.counts_by_token(tokens)
+    found = {(r["doc_id"], r["token"]): r["n"] for r in counts.collect()}
+    assert found == {(1, "a"): 3, (1, "b"): 1, (2, "a"): 1, (2, "c"): 1, (None, "a"): 2}
+    # the repartition above, the one by token, and none for the frequencies
+    assert _shuffles(terms.document_frequency(counts)) == 2
+    docs = spark.createDataFrame([(1,), (2,), (None,)], "doc_id long")
+    vocab = spark.createDataFrame([("a",), ("b",), ("b",)], "token string")
+    out = {(r["doc_id"], r["token"]): (r["n"], round(r["idf"], 6)) for r in terms.tfidf_transform(tokens, docs, vocab).collect()}
+    assert out == {(1, "a"): (3, 0.0), (1, "b"): (1, 0.477121), (2, "a"): (1, 0.0), (None, "a"): (2, 0.0)}
+
+
+def test_token_ids_with_sent_and_joined_vocabulary(spark, monkeypatch):
+    positions = spark.createDataFrame([(1, i, t) for i, t in enumerate("a b a c a b".split())], "doc_id long, p int, token string")
+    counted = positions.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    kept = wordvec.frequent_tokens(counted, 1, times="n")
+    assert {r["token"] for r in kept.collect()} == {r["token"] for r in wordvec.frequent_tokens(positions, 1).collect()} == {"a", "b"}
+    vocab = terms.vocabulary(kept, unknown=True)
+    sent = wordvec.token_ids(positions, vocab)
+    assert "Broadcast" in sent._jdf.queryExecution().executedPlan().toString()
+    wanted = {(0, 0), (1, 1), (2, 0), (3, 2), (4, 0), (5, 1)}
+    assert {(r["p"], r["id"]) for r in sent.collect()} == wanted
+    monkeypatch.setattr(wordvec, "SENT_WORDS", 1)
+    assert {(r["p"], r["id"]) for r in wordvec.token_ids(positions, vocab).collect()} == wanted
+
+
+def test_neighbour_targets_are_summarised_in_tasks(spark):
+    rng = random.Random(4)
+    docs = [[rng.choice(["a", "b", "c", "Z", "é", "\U0001f600", "￮"]) for _ in range(rng.randrange(1, 9))] for _ in range(60)]
+    frame = spark.createDataFrame([(d,) for d in docs], "t array<string>").repartition(3)
+    rows = frame.select(F.inline(corpus.neighbour_targets(F.col("t"))))
+    wanted = {}
+    for d in docs:
+        for k, token in enumerate(d):
+            w = wanted.setdefault(token, ([], [], []))
+            w[0].append(1)
+            w[1].extend(d[k + 1 : k + 2])
+            w[2].extend(d[max(k - 1, 0) : k])
+    byte = lambda s: s.encode()
+    wanted = {t: (len(n), len(f), len(b), min(f, key=byte, default=None), max(b, key=byte, default=None)) for t, (n, f, b) in wanted.items()}
+    for most in (4, 20, 1 << 21):
+        found = corpus.target_summary(rows, most)
+        assert {r[0]: tuple(r)[1:] for r in found.collect()} == wanted
+    assert corpus.target_summary(rows.where("false")).collect() == []
