@@ -133,3 +133,16 @@ def test_words_of_a_task_are_cut_into_bounded_slices():
 
     lists = pa.array([["a"] * 4, None, [], ["b"] * 9, ["c"], ["d"]])
     assert [*wordpiece._slices(lists, 4)] == [(0, 3), (3, 4), (4, 6)]
+
+
+def test_words_beyond_the_window_need_few_rounds(spark, monkeypatch):
+    """Many words over a small alphabet: most words hold only frequent pieces, yet a round makes many merges."""
+    counts = invented(3000, 5, "abcdefghijklmnopqrstuvwxyz")
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    rounds = []
+    count_pairs = subword_train.count_pairs
+    monkeypatch.setattr(subword_train, "count_pairs", lambda words: rounds.append(1) or count_pairs(words))
+    start = len(wordpiece.SPECIALS) + len({p for w in counts for p in [w[0], *("##" + c for c in w[1:])]})
+    _, merges = wordpiece.train(frame, start + 60, window=len(counts) // 3)
+    assert [m[:2] for m in merges] == counted_merges(counts, len(merges)) and len(merges) >= 60
+    assert len(rounds) <= 12

@@ -1,30 +1,29 @@
 """Training a subword vocabulary: many exact merges per pass over the words.
 
 The state is the table of distinct words with their pieces.  The score of a pair is
-``freq / (freq(a) * freq(b))``, and a pair occurs at most as often as its rarer piece, so a score
-of ``1 / F`` or more needs two pieces that occur ``F`` times at most.  Call these light.  A round
+``freq / (freq(a) * freq(b))``.  A round
 
-1. counts the pieces (as many rows as the vocabulary has entries),
-2. picks ``F`` so that at most ``window`` words hold two light pieces next to each other,
-3. takes these words, merges pair after pair among them with maintained counts and an index from
-   pairs to words, as long as the best score is above ``1 / F``, and
+1. counts the neighbouring pairs and the pieces (rows that follow from the vocabulary's size, not the words'),
+2. picks pairs from the best on so that at most ``window`` words hold one of them,
+3. takes these words and merges pair after pair, and
 4. applies the list of merges to all words where they are.
 
-Merging light pieces gives light pieces, the other pieces' counts don't change, and a word outside
-the window can't hold a pair above ``1 / F``; so the merges are those of training one by one over all
-words, ties included.  Where even the best pair's words exceed the window, one round of counting over all
-words finds that one merge.
+Merges of picked pairs change the picked words only, so the counts of all pairs and pieces stay exact while
+they are kept up to date, and a pair that comes up in a round lies in these words alone.  A round ends when the
+best of all pairs is one of the others; so the merges are those of training one by one over all words, ties
+included.  Where even the best pair's words exceed the window, a round makes that one merge.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +32,6 @@ from tidewell.session import cut_lineage
 #: Words a round may take to the driver: a bound on its memory, not on the table.
 WINDOW = 100_000
 
-_STEPS = 8  # sizes of windows are tried in steps of a power of 2 ** (1 / 8)
-
-
 def merged_name(a: str, b: str) -> str:
     return a + b[2:]
 
@@ -54,31 +50,33 @@ def merge_once(pieces: list[str], a: str, b: str, merged: str) -> list[str]:
 
 
 class PairIndex:
-    """Counts of pieces and of neighbouring light pairs in some words, kept up to date by merges."""
+    """Counts of all pieces and pairs, kept up to date by merges, and some words: all that hold a pair of ``held``."""
 
-    def __init__(self, words: list[tuple[list[str], int]], counts: dict[str, int], limit: float, min_frequency: int):
+    def __init__(
+        self, words: list[tuple[list[str], int]], counts: dict[str, int], pairs: dict[tuple[str, str], int], held: set[tuple[str, str]], min_frequency: int
+    ):
         self.words = [list(p) for p, _ in words]
         self.times = [n for _, n in words]
-        self.counts = counts
+        self.counts, self.pairs = counts, pairs
+        # pairs that other words may hold too
+        self.elsewhere = pairs.keys() - held
         self.min_frequency = min_frequency
-        # names of pieces that were not light when the words were chosen: their pairs are not all here
-        self.heavy = {t for t, f in counts.items() if f > limit}
-        self.pairs: dict[tuple[str, str], int] = defaultdict(int)
         self.holders: dict[tuple[str, str], set[int]] = defaultdict(set)
         self.of_piece: dict[str, set[tuple[str, str]]] = defaultdict(set)
-        for i in range(len(self.words)):
-            self._count(i, 1)
+        for i, pieces in enumerate(self.words):
+            for pair in zip(pieces, pieces[1:]):
+                self.holders[pair].add(i)
+        for pair in pairs:
+            self.of_piece[pair[0]].add(pair)
+            self.of_piece[pair[1]].add(pair)
         self.heap: list[tuple[float, str, str]] = []
-        for pair in self.pairs:
+        for pair in pairs:
             self._push(pair)
 
-    def _light(self, pieces: list[str]) -> Iterator[tuple[str, str]]:
-        return (p for p in zip(pieces, pieces[1:]) if p[0] not in self.heavy and p[1] not in self.heavy)
-
     def _count(self, i: int, sign: int) -> set[tuple[str, str]]:
         seen = set()
-        for pair in self._light(self.words[i]):
-            self.pairs[pair] += sign * self.times[i]
+        for pair in zip(self.words[i], self.words[i][1:]):
+            self.pairs[pair] = self.pairs.get(pair, 0) + sign * self.times[i]
             seen.add(pair)
         for pair in seen:
             if sign > 0:
@@ -101,6 +99,7 @@ class PairIndex:
             heapq.heappush(self.heap, (-score, *pair))
 
     def best(self) -> tuple[float, str, str] | None:
+        """The pair of the highest score over all words; ``merge`` takes it if it is not ``elsewhere``."""
         while self.heap:
             score, a, b = self.heap[0]
             if self._score((a, b)) == -score:
@@ -161,68 +160,85 @@ def apply_merges(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.select("word", "n", "pieces").mapInArrow(change, "word string, n long, pieces array<string>")
 
 
-def _lightness(words: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """``words`` with ``need``: the step of the least ``F`` at which two neighbouring pieces are light."""
-    step = {t: math.ceil(_STEPS * math.log2(f)) if f else 0 for t, f in counts.items()}
+def count_pairs(words: DataFrame) -> DataFrame:
+    """(a, b, freq, words): how often pieces ``a, b`` are neighbours and at how many places of distinct words.
+
+    A piece itself is counted with a null ``b``.  Counts are made in the tasks; only they are shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("pieces")
+            size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            coded = lists.flatten().dictionary_encode()
+            code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+            if not len(code):
+                continue
+            row, many = np.repeat(np.arange(len(size)), size), len(names) + 1
+            times = batch.column("n").to_numpy()[row]
+            inner = np.flatnonzero(row[1:] == row[:-1])
+            keys = np.concatenate([code[inner] * many + code[inner + 1], code * many + many - 1])
+            found, place = np.unique(keys, return_inverse=True)
+            freq = np.zeros(len(found), np.int64)
+            np.add.at(freq, place, np.concatenate([times[inner], times]))
+            other = found % many
+            sides = [names.take(pa.array(found // many)), names.take(pa.array(other, mask=other == many - 1))]
+            yield pa.RecordBatch.from_arrays([*sides, pa.array(freq), pa.array(np.bincount(place))], ["a", "b", "freq", "words"])
+
+    found = words.select("pieces", "n").mapInArrow(count, "a string, b string, freq long, words long")
+    return found.groupBy("a", "b").agg(F.sum("freq").alias("freq"), F.sum("words").alias("words"))
+
+
+def _holding(words: DataFrame, held: set[tuple[str, str]]) -> DataFrame:
+    """The words with one of these pairs."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            need = [
-                min((max(step[a], step[b]) for a, b in zip(p, p[1:])), default=None) for p in batch.column("pieces").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(need, pa.int32())], ["word", "n", "pieces", "need"])
+            kept = [any(pair in held for pair in zip(p, p[1:])) for p in batch.column("pieces").to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return words.select("word", "n", "pieces").mapInArrow(find, "word string, n long, pieces array<string>, need int")
+    return words.select("pieces", "n").mapInArrow(find, "pieces array<string>, n long")
 
 
 def train_merges(
-    words: DataFrame, known: set[str], room: int, min_frequency: int, one_merge, window: int = WINDOW
+    words: DataFrame, known: set[str], room: int, min_frequency: int, window: int = WINDOW
 ) -> list[tuple[str, str, str, float]]:
     """Merges (a, b, merged, score) in order until ``room`` new names are found or no pair is frequent enough.
 
-    ``words`` has ``word``, ``n`` and ``pieces``; ``one_merge(words)`` finds the best pair over all words,
-    ``(a, b, score)`` or None.
+    ``words`` has ``word``, ``n`` and ``pieces``.
     """
     known, merges = set(known), []
     words = cut_lineage(words.select("word", F.col("n").cast("long").alias("n"), "pieces"))
-
-    def note(a: str, b: str, score: float) -> None:
-        nonlocal room
-        merged = merged_name(a, b)
-        merges.append((a, b, merged, score))
-        if merged not in known:
-            known.add(merged)
-            room -= 1
-
     while room > 0:
-        rows = words.select(F.explode("pieces").alias("t"), "n").groupBy("t").agg(F.sum("n").alias("f")).collect()
-        counts = {r["t"]: r["f"] for r in rows}
-        placed = cut_lineage(_lightness(words, counts))
-        steps = sorted((r["need"], r["count"]) for r in placed.where("need IS NOT NULL").groupBy("need").count().collect())
-        upto, held = None, 0
-        for need, size in steps:
-            if held + size > window:
+        rows = count_pairs(words).toArrow().to_pylist()
+        counts = {r["a"]: r["freq"] for r in rows if r["b"] is None}
+        pairs = {(r["a"], r["b"]): r["freq"] for r in rows if r["b"] is not None}
+        places = {(r["a"], r["b"]): r["words"] for r in rows if r["b"] is not None}
+        score = {p: float(n) / (float(counts[p[0]]) * float(counts[p[1]])) for p, n in pairs.items()}
+        held, size = set(), 0
+        for pair in sorted((p for p, n in pairs.items() if n >= min_frequency), key=lambda p: (-score[p], p)):
+            size += places[pair]
+            if size > window:
                 break
-            upto, held = need, held + size
+            held.add(pair)
+        near = _holding(words, held).toArrow().to_pylist() if held else []
+        index = PairIndex([(r["pieces"], r["n"]) for r in near], counts, pairs, held, min_frequency)
         done: list[tuple[str, str]] = []
-        if upto is not None:
-            whole = upto == steps[-1][0]
-            limit = math.inf if whole else 2 ** (upto / _STEPS)
-            near = placed.where(F.col("need") <= upto).select("pieces", "n").collect()
-            index = PairIndex([(r["pieces"], r["n"]) for r in near], counts, limit, min_frequency)
-            least = 0.0 if whole else (1 + 1e-9) / limit
-            while room > 0 and (best := index.best()) and best[0] > least:
-                score, a, b = best
-                index.merge(a, b)
-                done.append((a, b))
-                note(a, b, score)
-            if whole and room > 0:
+        while room > 0 and (best := index.best()):
+            own = best[1:] not in index.elsewhere
+            if done and not own:
                 break
-        if not done:
-            best = one_merge(words)
-            if best is None:
+            done.append(best[1:])
+            merged = merged_name(*best[1:])
+            merges.append((*best[1:], merged, best[0]))
+            if merged not in known:
+                known.add(merged)
+                room -= 1
+            if not own:
                 break
-            done.append(best[:2])
-            note(*best)
-        words = cut_lineage(apply_merges(words, done))
+            index.merge(*best[1:])
+        if not done:
+            break
+        if room > 0:
+            words = cut_lineage(apply_merges(words, done))
     return merges

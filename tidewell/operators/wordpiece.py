@@ -76,9 +76,7 @@ def train(
     words = counts.select("word", "n", initial_pieces(F.col("word")).alias("pieces"))
     alphabet = [r["t"] for r in words.select(F.explode("pieces").alias("t")).distinct().orderBy("t").collect()]
     held = len(alphabet) + (len(SPECIALS) if rule == "appended" else 0)
-    merges = train_merges(
-        words, {*alphabet, *SPECIALS}, vocab_size - held, min_frequency, lambda w: best_pair(w, min_frequency), window
-    )
+    merges = train_merges(words, {*alphabet, *SPECIALS}, vocab_size - held, min_frequency, window)
     # a merge can spell an entry that is there already
     made = [t for t in dict.fromkeys(m[2] for m in merges) if t not in {*alphabet, *SPECIALS}]
     if rule == "appended":
