@@ -145,3 +145,18 @@ def test_stream_counts_and_windows(spark, tmp_path):
             assert got[s, k] == (toks[k * 5 : k * 5 + 5], toks[k * 5 + 1 : k * 5 + 6])
             n += 1
     assert n == len(got) > 0
+
+
+def test_shards_follow_the_input_not_a_fixed_number(spark, tmp_path):
+    from tidewell.plans import core
+
+    spark.range(400).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).repartition(20).write.parquet(str(tmp_path / "documents.parquet"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "2k")
+        d = core.s9(spark, str(tmp_path))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert d.rdd.getNumPartitions() >= 16 and d.count() == 400

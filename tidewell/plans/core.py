@@ -14,7 +14,7 @@ from tidewell.operators.ordered import affine_scan, running, top_n_per_key
 from tidewell.operators.reshape import MONTHS, replace_strict
 from tidewell.plans.base import query, table
 from tidewell.plans.standins import CURVE_SQL, SERIES_SQL, loss_curve, polygons, station_table
-from tidewell.session import scratch_path
+from tidewell.session import scratch_path, spread
 from tidewell.sources import files, stores
 
 
@@ -307,7 +307,8 @@ def s9(spark, d):
     from tidewell.sources.arrow_ipc import read_arrow_folder, write_arrow_folder
 
     path = scratch_path(spark, "shards")
-    write_arrow_folder(table(spark, d, "documents").select("doc_id", "text").repartition(4, "doc_id"), path)
+    # as many shards as the input has splits, so that a task's share does not grow with the table
+    write_arrow_folder(spread(table(spark, d, "documents").select("doc_id", "text")), path)
     return read_arrow_folder(spark, path)
 
 
