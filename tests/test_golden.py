@@ -334,3 +334,25 @@ def test_neighbour_targets_are_summarised_in_tasks(spark):
         found = corpus.target_summary(rows, most)
         assert {r[0]: tuple(r)[1:] for r in found.collect()} == wanted
     assert corpus.target_summary(rows.where("false")).collect() == []
+
+
+def test_sentence_pairs_shuffle_lists_of_partners(spark):
+    """A pair takes a few bytes of the shuffle, and a word in all sentences is dealt to many tasks."""
+    import itertools
+    from collections import Counter
+
+    sets = [["all", *(f"w{(i * 7 + j * j) % 150:03d}" for j in range(12))] for i in range(400)] + [["all", None, "é"], ["é", "é"], []]
+    d = spark.createDataFrame([(s,) for s in sets], "w array<string>").repartition(4)
+    key = lambda w: (w is None, (w or "").encode())
+    want = Counter(p for s in sets for p in itertools.combinations(sorted(set(s), key=key), 2))
+    for counted, block in ((1 << 23, 512), (50, 512), (50, 5)):
+        before, cooccur._COUNTED = cooccur._COUNTED, counted
+        try:
+            got = cooccur.sentence_cooccurrence(d, "w", block=block).collect()
+        finally:
+            cooccur._COUNTED = before
+        assert len(got) == len(want) and {(r["a"], r["b"]): r["n"] for r in got} == want
+    met = d.select(F.array_sort(F.array_distinct("w")).alias("_l"), F.lit(None).cast("array<string>").alias("_r"))
+    lists = cooccur._count_meetings(met, {"all": 0}).where("a = 'all'")
+    assert lists.select("salt").distinct().count() == cooccur._SALTS
+    assert cooccur._count_meetings(met, {}).where("a = 'all'").select("salt").distinct().count() == 1
