@@ -146,3 +146,18 @@ def test_words_beyond_the_window_need_few_rounds(spark, monkeypatch):
     _, merges = wordpiece.train(frame, start + 60, window=len(counts) // 3)
     assert [m[:2] for m in merges] == counted_merges(counts, len(merges)) and len(merges) >= 60
     assert len(rounds) <= 12
+
+
+def test_no_rows_wait_for_encoding_or_decoding(spark):
+    """Rows with their texts and words are not queued beside the Python workers; other columns come through."""
+    vocab = wordpiece.vocab_table(spark, [*wordpiece.SPECIALS, "a", "b", "##b"])
+    rows = [(1, "ab a", [1.5]), (2, None, None), (3, "zz b", [])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other array<double>")
+    encoded = wordpiece.encode(docs, vocab)
+    decoded = wordpiece.decode(encoded, "ids", vocab, skip="id")
+    assert "EvalPython" not in decoded._jdf.queryExecution().executedPlan().toString()
+    got = {r["doc_id"]: r for r in decoded.collect()}
+    assert {k: (r["text"], r["other"]) for k, r in got.items()} == {r[0]: r[1:] for r in rows}
+    assert {k: r["tokens"] for k, r in got.items()} == {1: ["a", "##b", "a"], 2: [], 3: ["[UNK]", "b"]}
+    assert {k: r["starts"] for k, r in got.items()} == {1: [0, 1, 3], 2: [], 3: [0, 3]}
+    assert {k: r["decoded"] for k, r in got.items()} == {1: "ab a", 2: "", 3: "b"}

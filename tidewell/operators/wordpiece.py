@@ -220,14 +220,17 @@ def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", unknown: str =
     known = vocab.select("token", "id").toArrow()
     table = docs.sparkSession.sparkContext.broadcast(dict(zip(known["token"].to_pylist(), known["id"].to_pylist())))
 
-    @F.arrow_udf(_ENCODING)
-    def pieces(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Segmenter(table.value, unknown)
-        for words, gap in batches:
+        for batch in batches:
+            *_, words, gaps = batch.columns
             for lo, hi in _slices(words, _SLICE_WORDS):
-                yield own.encode(words.slice(lo, hi - lo), gap.slice(lo, hi - lo))
+                found = own.encode(words.slice(lo, hi - lo), gaps.slice(lo, hi - lo)).flatten()
+                kept = [c.slice(lo, hi - lo) for c in batch.columns[:-2]]
+                yield pa.RecordBatch.from_arrays([*kept, *found], [*batch.schema.names[:-2], *_ENCODING.names])
 
-    return cut.withColumn("_e", pieces("_words", "_gaps")).select(*docs.columns, "_e.*")
+    # all columns go through the task: rows that wait for a function's result would be queued on disk
+    return cut.select(*docs.columns, "_words", "_gaps").mapInArrow(pieces, T.StructType([*docs.schema.fields, *_ENCODING.fields]))
 
 
 def _encode_by_join(cut: DataFrame, vocab: DataFrame, columns: list[str], unknown: str) -> DataFrame:
@@ -294,12 +297,12 @@ def decode(
         known = vocab.where(F.col("id") >= 0).select(F.col("id").cast("long").alias("id"), "token").toArrow().sort_by("id")
         table = df.sparkSession.sparkContext.broadcast((known["id"].to_numpy(), known["token"].to_pylist()))
 
-        @F.arrow_udf("array<string>")
-        def names(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, tokens = table.value
             # the last entry stands for ids that are not in the vocabulary
             token = pa.array([*tokens, "[UNK]"], pa.string())
-            for lists in batches:
+            for batch in batches:
+                lists = batch.columns[-1]
                 for lo, hi in _slices(lists, _SLICE_WORDS):
                     part = lists.slice(lo, hi - lo)
                     wanted = pc.fill_null(part.flatten().cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
@@ -309,9 +312,12 @@ def decode(
                     named = pc.fill_null(token.take(pa.array(np.where(hit, place, len(ids)))), "[UNK]")
                     upto = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False).astype(np.int64))
                     empty = pc.is_null(part) if part.null_count else None
-                    yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]), pa.int32()), named, mask=empty)
+                    found = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]), pa.int32()), named, mask=empty)
+                    yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), found], batch.schema.names)
 
-        named = df.withColumn("_tokens", names(kept))
+        # as in ``encode``, rows go through the task as a whole
+        out = T.StructType([*df.schema.fields, T.StructField("_tokens", T.ArrayType(T.StringType()))])
+        named = df.select(*df.columns, kept.alias("_tokens")).mapInArrow(names, out)
     else:
         single = df.select(key, F.posexplode(kept).alias("_p", "_i"))
         names = vocab.select(F.col("id").alias("_i"), "token")
