@@ -254,6 +254,32 @@ def test_pairs_counted_in_small_parts(spark, monkeypatch):
     assert dict(cooccur.cooccurrence(numbers, "t", 1).dtypes) == {"a": "bigint", "b": "bigint", "n": "bigint"}
 
 
+def test_counted_pairs_are_shuffled_as_pieces(spark):
+    """The one shuffle deals packed cells of pairs; a task holds so many tokens at a time, however large a batch is."""
+    import numpy as np
+    import pyarrow as pa
+
+    d = spark.createDataFrame([(["a", "b", None, "é", "b"],)], "t array<string>")
+    for found in (cooccur.cooccurrence(d, "t", 2, True), cooccur.skipgram_counts(d, "t", 1)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(cell") == plan.count("Exchange") == 1
+    lists = pa.array([["a"] * 4] * 9 + [["b"] * 30, None, [], ["c"]], pa.list_(pa.string()))
+    parts = [p.to_pylist() for p in cooccur._parts(iter([pa.RecordBatch.from_arrays([lists], ["t"])]), 10)]
+    assert [x for p in parts for x in p] == lists.to_pylist()
+    assert max(sum(len(x or []) for x in p) for p in parts if len(p) > 1) <= 10
+    words = [["a", "b", "bé"], [None, "c"], [3, 700, 1 << 40]]
+    for w in words:
+        w = pa.array(w)
+        w = w.take(pa.compute.sort_indices(w))
+        one, other = np.array([0, 0, 1], np.int32), np.array([0, 1, 0], np.int32)
+        counts = cooccur._Counts(w, one, other, np.array([1, 2, 3]))
+        pieces = [r for b in cooccur._by_cell(counts, 4) for r in b.to_pylist()]
+        back = cooccur._add([cooccur._Counts.of(r["rows"], r["words"], r["pairs"], True) for r in pieces * 2])
+        names, want = back.words.to_pylist(), w.to_pylist()
+        got = {(names[i], names[j]): n for i, j, n in zip(back.one, back.other, back.n)}
+        assert got == {(want[0], want[0]): 2, (want[0], want[1]): 4, (want[1], want[0]): 6}
+
+
 def test_classifier_sends_no_more_gradients_than_there_are_cores(spark, monkeypatch):
     """Partitions are merged before the solver's passes, and the weights come back by column."""
     seen = []
