@@ -280,6 +280,30 @@ def test_counted_pairs_are_shuffled_as_pieces(spark):
         assert got == {(want[0], want[0]): 2, (want[0], want[1]): 4, (want[1], want[0]): 6}
 
 
+def test_pmi_moves_pairs_once_as_pieces(spark, monkeypatch):
+    """Any rows of pairs: repeated, one-sided, with null; pairs are not joined to the margins row by row."""
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(cooccur, "_COUNTED", 16)
+    monkeypatch.setattr(cooccur, "_HANDED", 3)
+    rows = [("a", "b", 3), ("b", "a", 3), ("a", "b", 1), ("b", "é", 2), ("é", "b", 5), ("c", "only", 4), (None, "a", 7), ("a", None, 2), ("é", "é", 9)]
+    found = cooccur.pmi(spark.createDataFrame(rows, "a string, b string, n long").repartition(2))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    total, margin = sum(n for *_, n in rows), Counter()
+    for a, _, n in rows:
+        margin[a] += n
+    want = [(a, b, n, math.log(n * total / (margin[a] * margin[b]))) for a, b, n in rows if None not in (a, b) and b in margin]
+    got = sorted(tuple(r) for r in found.collect())
+    assert [g[:3] for g in got] == sorted(w[:3] for w in want)
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in sorted(want)])
+    assert [g[4] for g in got] == pytest.approx([max(w[3], 0.0) for w in sorted(want)])
+    assert dict(found.dtypes) == {"a": "string", "b": "string", "n": "bigint", "pmi": "double", "ppmi": "double"}
+    numbers = cooccur.pmi(spark.createDataFrame([(1, 2, 1.5), (2, 1, 1.5)], "a long, b long, n double")).collect()
+    assert sorted((r["a"], r["b"], r["n"]) for r in numbers) == [(1, 2, 1.5), (2, 1, 1.5)]
+    assert [r["pmi"] for r in numbers] == pytest.approx([math.log(2)] * 2)
+
+
 def test_classifier_sends_no_more_gradients_than_there_are_cores(spark, monkeypatch):
     """Partitions are merged before the solver's passes, and the weights come back by column."""
     seen = []
